@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tracklens.config import EncounterConfig
 from tracklens.operators.filters import select_pings
-from tracklens.operators.proximity import find_candidates
+from tracklens.operators.proximity import find_candidates, pairing_pings
 from tracklens.operators.score import score_candidates, top_k_pairs, winner, winner_event
 from tracklens.operators.tracks import clean_tracks, moving_vessels
 from tracklens.operators.trajectory import event_report, trajectories, trajectory_lines
+from tracklens.plans.materialize import materialize, shared_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -43,12 +44,19 @@ def detect_encounters(
     candidates: DataFrame | None = None,
     scored: DataFrame | None = None,
 ) -> Encounters:
-    """All results as lazy DataFrames.  ``clean`` / ``candidates`` /
-    ``scored`` may be passed in already materialised (see :func:`run_job`)."""
+    """All results as DataFrames.  The fan-out points (clean tracks, pairing
+    pings, candidates, scored candidates) are materialised on the way (see
+    :mod:`tracklens.plans.materialize`); everything after them is lazy.
+    ``clean`` / ``candidates`` / ``scored`` may be passed in precomputed."""
     cfg = (cfg or EncounterConfig()).validate()
-    clean = clean if clean is not None else clean_pings(pings, cfg, order)
-    cands = candidates if candidates is not None else find_candidates(clean, cfg, order, strategy)
-    scored = scored if scored is not None else score_candidates(cands, clean, cfg)
+    if clean is None:
+        cleaned = materialize(clean_tracks(select_pings(pings, cfg), cfg, order))
+        clean = materialize(moving_vessels(cleaned, cfg))
+    if candidates is None:
+        pp = materialize(pairing_pings(clean, cfg, order))
+        candidates = materialize(find_candidates(clean, cfg, order, strategy, pp=pp))
+    cands = candidates
+    scored = scored if scored is not None else materialize(score_candidates(cands, clean, cfg))
     top = top_k_pairs(scored, cfg.top_k_pairs)
     win = winner(scored)
     wev = winner_event(win, cands)
@@ -66,24 +74,6 @@ def detect_encounters(
     )
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``)."""
-    d = spark.sparkContext.getCheckpointDir()
-    return d or spark.conf.get("spark.checkpoint.dir", None)
-
-
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Use the configured checkpoint folder; set ``fallback`` only when unset
-    (tests / local runs)."""
-    d = checkpoint_dir(spark)
-    if not d:
-        spark.sparkContext.setCheckpointDir(fallback)
-        d = checkpoint_dir(spark)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
-    return d
-
-
 def run_job(
     spark: SparkSession,
     pings: DataFrame,
@@ -96,20 +86,13 @@ def run_job(
     """Run the whole job and write scored / top / trajectories / lines /
     report as Parquet (report also as JSON) under ``output_dir``.
 
-    The clean tracks and the candidates feed several branches, so each is
-    cut from its lineage with a reliable ``checkpoint()`` in the shared
-    checkpoint folder: a lost executor then re-reads the checkpoint instead
-    of re-running the scan and the self-join."""
-    if not checkpoint_dir(spark):
+    Requires the shared checkpoint folder (``spark.checkpoint.dir``): the
+    fan-out points are cut from their lineage there, so a lost executor
+    re-reads checkpoint files instead of re-running the scan and self-join."""
+    if not shared_checkpoint_dir(spark):
         raise RuntimeError("set spark.checkpoint.dir (a shared folder) before run_job")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
-    cfg = (cfg or EncounterConfig()).validate()
-    clean = clean_pings(pings, cfg, order).checkpoint(eager=True)
-    cands = find_candidates(clean, cfg, order, strategy).checkpoint(eager=True)
-    scored = score_candidates(cands, clean, cfg).checkpoint(eager=True)
-    res = detect_encounters(pings, cfg, order, strategy, clean=clean, candidates=cands, scored=scored)
-    out = {"clean": clean.count(), "candidates": cands.count()}
+    res = detect_encounters(pings, cfg, order, strategy)
+    counts = {"clean": res.clean.count(), "candidates": res.candidates.count(), "scored": res.scored.count()}
     for name, df in (
         ("scored", res.scored),
         ("top", res.top),
@@ -119,4 +102,4 @@ def run_job(
     ):
         df.write.mode(mode).parquet(f"{output_dir}/{name}")
     res.report.write.mode(mode).json(f"{output_dir}/report_json")
-    return out
+    return counts
