@@ -58,7 +58,9 @@ class Fixture:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return pings_from_events(self.spark, self.spark.read.parquet(f"{self.sf_dir}/events.parquet"))
+        # Materialised like an ingested table: left lazy, Catalyst would inline
+        # the fixture's CASE expressions into every downstream predicate.
+        return materialize(pings_from_events(self.spark, self.spark.read.parquet(f"{self.sf_dir}/events.parquet")))
 
     @cached_property
     def valid(self):
@@ -142,15 +144,15 @@ class Fixture:
 
     @cached_property
     def scored(self):
-        return sc.score_candidates(self.cands, self.clean, self.cfg)
+        return materialize(sc.score_candidates(self.cands, self.clean, self.cfg))
 
     @cached_property
     def top(self):
-        return sc.top_k_pairs(self.scored, self.cfg.top_k_pairs)
+        return materialize(sc.top_k_pairs(self.scored, self.cfg.top_k_pairs))
 
     @cached_property
     def win(self):
-        return sc.winner(self.scored)
+        return sc.winner_from_top(self.top)
 
     @cached_property
     def wevent(self):
@@ -258,6 +260,11 @@ QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
     ),
     "scene_density": lambda fx: out(sc.scene_density(fx.cands), ["mmsi_a", "mmsi_b", "ts_unix_a", "ts_unix_b", "scene_density"]),
     "score": lambda fx: out(fx.scored, SCORED),
+    "score_without_tracks": lambda fx: out(
+        sc.score_candidates(fx.cands, None, fx.cfg),
+        CAND + ["ais_silence", "silence_count", "min_silence_s", "max_sog_drop", "max_cog_change",
+                "post_event_divergence", "scene_density", "collision_score"],
+    ),
     "best_per_pair": lambda fx: out(sc.best_per_pair(fx.scored), SCORED),
     "top5_pairs": lambda fx: out(fx.top, ["rank"] + SCORED),
     "winner": lambda fx: out(fx.win, SCORED),

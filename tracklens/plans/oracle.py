@@ -348,6 +348,20 @@ def oracle_queries() -> dict[str, str]:
     )
     q["scene_density"] = with_ctes("dens", "SELECT mmsi_a, mmsi_b, ts_unix_a, ts_unix_b, scene_density FROM dens")
     q["score"] = with_ctes("scored", f"SELECT {SCORED_OUT} FROM scored")
+    q["score_without_tracks"] = with_ctes(
+        "cands",
+        f"SELECT {CAND_OUT.replace('round(closing_speed_kn, 6) AS closing_speed_kn', 'round(least(closing_speed_kn, '
+        + d(W.cap_closing_speed) + '), 6) AS closing_speed_kn')}, false AS ais_silence, 0 AS silence_count, "
+        "999999 AS min_silence_s, 0e0 AS max_sog_drop, 0e0 AS max_cog_change, 0e0 AS post_event_divergence, "
+        "(coalesce(vessels_in_cell_a, 1) + coalesce(vessels_in_cell_b, 1)) / 2e0 AS scene_density, "
+        f"round(0e0 + 0e0 + 0e0 + (0e0 * {d(W.sog_drop)} + 0e0 * {d(W.cog_change)} + 0e0 * {d(W.divergence)} "
+        f"+ least(closing_speed_kn, {d(W.cap_closing_speed)}) * {d(W.closing_speed)}) "
+        f"- (1e0 - 0e0) * {d(W.no_reaction)} "
+        f"- CASE WHEN distance_nm * 1.852e3 > {d(W.distance_free_m)} THEN (distance_nm * 1.852e3 - {d(W.distance_free_m)}) "
+        f"/ 1e2 * {d(W.distance_per_100m)} ELSE 0e0 END "
+        f"- greatest(((coalesce(vessels_in_cell_a, 1) + coalesce(vessels_in_cell_b, 1)) / 2e0 - {d(W.density_free)}) "
+        f"* {d(W.density_per_vessel)}, 0e0), 6) AS collision_score FROM cands",
+    )
     q["best_per_pair"] = with_ctes("best", f"SELECT {SCORED_OUT} FROM best")
     q["top5_pairs"] = with_ctes("top5", f"SELECT rank, {SCORED_OUT} FROM top5")
     q["winner"] = with_ctes("win", f"SELECT {SCORED_OUT} FROM win")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tracklens.config import EncounterConfig
 from tracklens.operators.filters import select_pings
 from tracklens.operators.proximity import find_candidates, pairing_pings
-from tracklens.operators.score import score_candidates, top_k_pairs, winner, winner_event
+from tracklens.operators.score import score_candidates, top_k_pairs, winner_event, winner_from_top
 from tracklens.operators.tracks import clean_tracks, moving_vessels
 from tracklens.operators.trajectory import event_report, trajectories, trajectory_lines
 from tracklens.plans.materialize import materialize, shared_checkpoint_dir
@@ -57,8 +57,8 @@ def detect_encounters(
         candidates = materialize(find_candidates(clean, cfg, order, strategy, pp=pp))
     cands = candidates
     scored = scored if scored is not None else materialize(score_candidates(cands, clean, cfg))
-    top = top_k_pairs(scored, cfg.top_k_pairs)
-    win = winner(scored)
+    top = materialize(top_k_pairs(scored, cfg.top_k_pairs))
+    win = winner_from_top(top)
     wev = winner_event(win, cands)
     traj = trajectories(clean, top, cfg)
     return Encounters(

@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+The original job is one batch read of daily CSV files: it has no event-time
+windows, watermarks or cross-batch state, so there is nothing to rebuild
+with Structured Streaming here.  New daily files are ingested with the batch
+sources (``tracklens.sources``), e.g. appended to the day-partitioned
+Parquet store with ``write_pings(..., mode="append")``.
+"""
