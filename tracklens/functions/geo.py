@@ -14,13 +14,32 @@ def _c(x) -> Column:
     return x if isinstance(x, Column) else F.col(x) if isinstance(x, str) else F.lit(x)
 
 
+def _sql_operand(x) -> str | None:
+    """SQL text for a column name or a number; None for a Column object."""
+    if isinstance(x, str):
+        return f"`{x}`"
+    if isinstance(x, (int, float)) and not isinstance(x, bool):
+        return f"{float(x)!r}D"
+    return None
+
+
 def haversine_nm(lat1, lon1, lat2, lon2) -> Column:
     """Great-circle distance in nautical miles.
 
     ``greatest`` skips nulls, so a null input yields 0.0 rather than null;
     callers that need null semantics guard with ``when``.  ``least(1, a)``
     only matters at antipodes, where rounding could push ``a`` above 1.
+    Column names and numbers are compiled as one SQL expression (one call
+    into the JVM); Column objects are combined with the Column API.
     """
+    ops = [_sql_operand(x) for x in (lat1, lon1, lat2, lon2)]
+    if all(o is not None for o in ops):
+        a1, o1, a2, o2 = ops
+        r = f"{EARTH_RADIUS_NM!r}D"
+        return F.expr(
+            f"2 * {r} * asin(sqrt(least(1.0D, greatest(0.0D, pow(sin(radians({a2} - {a1}) / 2), 2) "
+            f"+ cos(radians({a1})) * cos(radians({a2})) * pow(sin(radians({o2} - {o1}) / 2), 2)))))"
+        )
     lat1, lon1, lat2, lon2 = map(_c, (lat1, lon1, lat2, lon2))
     phi1 = F.radians(lat1)
     phi2 = F.radians(lat2)
