@@ -16,3 +16,47 @@ def test_run_job_writes_results(spark, scratch):
     assert len(rep) == 1 and rep[0]["timestamp_utc"].endswith(" UTC")
     traj = spark.read.parquet(f"{out}/trajectories")
     assert set(r.phase for r in traj.collect()) <= {"before", "after"}
+
+
+def test_display_name_fallback(spark):
+    from tracklens.operators.trajectory import display_name
+
+    df = spark.createDataFrame([("KARIN HOEJ", 1), (None, 219000007), ("", 5)], "name string, mmsi long")
+    assert [r.l for r in df.select(display_name("name", "mmsi").alias("l")).collect()] == [
+        "KARIN HOEJ",
+        "MMSI 219000007",
+        "MMSI 5",
+    ]
+
+
+def test_csv_to_report_end_to_end(spark, scratch):
+    """Fixture pings written as AIS CSV text, read back with the CSV source
+    and run through the whole job with the default (content) track order."""
+    from pyspark.sql import functions as F
+
+    from tracklens.plans.pipeline import detect_encounters
+    from tracklens.schema import CSV_COLUMNS
+    from tracklens.sources.ais_csv import read_ais_csv
+
+    fx = Fixture(spark, "/root/testdata/sf0.001")
+    text = fx.raw.select(
+        F.date_format("ts", "dd/MM/yyyy HH:mm:ss").alias(CSV_COLUMNS["ts"]),
+        F.col("mobile_type").alias(CSV_COLUMNS["mobile_type"]),
+        F.col("mmsi").cast("string").alias(CSV_COLUMNS["mmsi"]),
+        F.col("lat").cast("string").alias(CSV_COLUMNS["lat"]),
+        F.col("lon").cast("string").alias(CSV_COLUMNS["lon"]),
+        F.lit("Under way using engine").alias("Navigational status"),
+        F.col("sog").cast("string").alias(CSV_COLUMNS["sog"]),
+        F.col("cog").cast("string").alias(CSV_COLUMNS["cog"]),
+        F.col("name").alias(CSV_COLUMNS["name"]),
+        F.col("ship_type").alias(CSV_COLUMNS["ship_type"]),
+    )
+    path = os.path.join(scratch, "csv")
+    text.write.option("header", "true").csv(path)
+    pings = read_ais_csv(spark, path)
+    assert pings.count() == fx.valid.count()
+    res = detect_encounters(pings)
+    top = res.top.orderBy("rank").collect()
+    assert len(top) == 5 and all(r.mmsi_a < r.mmsi_b for r in top)
+    rep = res.report.collect()
+    assert len(rep) == 1 and rep[0].timestamp_utc.startswith("2021-12-")

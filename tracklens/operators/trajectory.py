@@ -38,9 +38,19 @@ def trajectory_around(pings: DataFrame, events: DataFrame, window_s: int = 600)
 def event_windows(top: DataFrame) -> DataFrame:
     """One row per (rank, side): vessel, the event time of the report (A's
     ping time) and the vessel's own ping time (its fetch centre)."""
-    a = top.select("rank", F.lit("a").alias("side"), F.col("mmsi_a").alias("mmsi"), F.col("ts_unix_a").alias("event_unix"), F.col("ts_unix_a").alias("fetch_unix"))
-    b = top.select("rank", F.lit("b").alias("side"), F.col("mmsi_b").alias("mmsi"), F.col("ts_unix_a").alias("event_unix"), F.col("ts_unix_b").alias("fetch_unix"))
-    return a.unionByName(b)
+    sides = F.array(
+        *[
+            F.struct(
+                F.lit(s).alias("side"),
+                F.col(f"mmsi_{s}").alias("mmsi"),
+                display_name(f"name_{s}", f"mmsi_{s}").alias("vessel_label"),
+                F.col("ts_unix_a").alias("event_unix"),
+                F.col(f"ts_unix_{s}").alias("fetch_unix"),
+            )
+            for s in ("a", "b")
+        ]
+    )
+    return top.select("rank", F.inline(sides))
 
 
 def trajectories(pings: DataFrame, top: DataFrame, cfg: EncounterConfig = _DEFAULT) -> DataFrame:
@@ -54,7 +64,7 @@ def trajectories(pings: DataFrame, top: DataFrame, cfg: EncounterConfig = _DEFAU
     fetched = pings.join(
         fetch, (F.col("mmsi") == F.col("_fm")) & F.col("ts_unix").between(F.col("_fc") - w, F.col("_fc") + w), "left_semi"
     )
-    shown = F.broadcast(windows.select("rank", "side", F.col("mmsi").alias("_m"), "event_unix"))
+    shown = F.broadcast(windows.select("rank", "side", F.col("mmsi").alias("_m"), "vessel_label", "event_unix"))
     cols = [c for c in ("mmsi", *POINT_COLS) if c in pings.columns]
     out = fetched.select(*cols).join(
         shown, (F.col("mmsi") == F.col("_m")) & F.col("ts_unix").between(F.col("event_unix") - w, F.col("event_unix") + w), "inner"
@@ -70,7 +80,7 @@ def trajectory_lines(traj: DataFrame) -> DataFrame:
     and the END point (last point overall).  A group holds one vessel's pings
     of a bounded time window, so collecting it is bounded."""
     pt = F.struct("ts_unix", "lat", "lon")
-    g = traj.groupBy("rank", "side", "mmsi", "event_unix").agg(
+    g = traj.groupBy("rank", "side", "mmsi", "vessel_label", "event_unix").agg(
         F.array_sort(F.collect_list(F.when(F.col("phase") == "before", pt))).alias("before"),
         F.array_sort(F.collect_list(F.when(F.col("phase") == "after", pt))).alias("after"),
         F.min_by(pt, F.when(F.col("phase") == "before", F.col("ts_unix"))).alias("_start"),
@@ -80,6 +90,7 @@ def trajectory_lines(traj: DataFrame) -> DataFrame:
         "rank",
         "side",
         "mmsi",
+        "vessel_label",
         "event_unix",
         F.size("before").alias("n_before"),
         F.size("after").alias("n_after"),

@@ -202,7 +202,7 @@ def _lines(fx: Fixture) -> DataFrame:
         return F.when(F.col(c).isNotNull(), F.array_join(F.transform(c, pt), ",")).alias(c)
 
     return lines.select(
-        "rank", "side", "mmsi", "event_unix", "n_before", "n_after", path("line_before"), path("line_after"),
+        "rank", "side", "mmsi", "vessel_label", "event_unix", "n_before", "n_after", path("line_before"), path("line_after"),
         "start_lat", "start_lon", "end_lat", "end_lon",
     )
 
@@ -274,7 +274,7 @@ QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
     ),
     "trajectory_one": _trajectory_one,
     "trajectories": lambda fx: fx.traj.select(
-        "rank", "side", "mmsi", "event_unix", "ts_unix", "lat", "lon", "sog", "cog", "phase"
+        "rank", "side", "mmsi", "vessel_label", "event_unix", "ts_unix", "lat", "lon", "sog", "cog", "phase"
     ),
     "trajectory_lines": _lines,
     "event_report": lambda fx: tj.event_report(fx.wevent),

@@ -228,8 +228,10 @@ _CTES: list[tuple[str, str]] = [
     ),
     (
         "vw",
-        "SELECT rank, 'a' AS side, mmsi_a AS mmsi, ts_unix_a AS event_unix, ts_unix_a AS fetch_unix FROM top5 "
-        "UNION ALL SELECT rank, 'b' AS side, mmsi_b AS mmsi, ts_unix_a AS event_unix, ts_unix_b AS fetch_unix FROM top5",
+        "SELECT rank, 'a' AS side, mmsi_a AS mmsi, coalesce(nullif(name_a, ''), 'MMSI ' || CAST(mmsi_a AS VARCHAR)) "
+        "AS vessel_label, ts_unix_a AS event_unix, ts_unix_a AS fetch_unix FROM top5 "
+        "UNION ALL SELECT rank, 'b' AS side, mmsi_b AS mmsi, coalesce(nullif(name_b, ''), 'MMSI ' || CAST(mmsi_b AS VARCHAR)) "
+        "AS vessel_label, ts_unix_a AS event_unix, ts_unix_b AS fetch_unix FROM top5",
     ),
     (
         "fetched",
@@ -238,7 +240,7 @@ _CTES: list[tuple[str, str]] = [
     ),
     (
         "traj",
-        "SELECT v.rank, v.side, p.mmsi, v.event_unix, p.ts_unix, p.lat, p.lon, p.sog, p.cog, "
+        "SELECT v.rank, v.side, p.mmsi, v.vessel_label, v.event_unix, p.ts_unix, p.lat, p.lon, p.sog, p.cog, "
         "CASE WHEN p.ts_unix <= v.event_unix THEN 'before' ELSE 'after' END AS phase FROM vw v JOIN fetched p "
         f"ON p.mmsi = v.mmsi AND p.ts_unix BETWEEN v.event_unix - {c.trajectory_window_s} AND v.event_unix + {c.trajectory_window_s}",
     ),
@@ -376,12 +378,12 @@ def oracle_queries() -> dict[str, str]:
         f"AND p.ts_unix BETWEEN e.event_unix - {c.trajectory_window_s} AND e.event_unix + {c.trajectory_window_s}",
     )
     q["trajectories"] = with_ctes(
-        "traj", "SELECT rank, side, mmsi, event_unix, ts_unix, lat, lon, sog, cog, phase FROM traj"
+        "traj", "SELECT rank, side, mmsi, vessel_label, event_unix, ts_unix, lat, lon, sog, cog, phase FROM traj"
     )
     pt = "CAST(round(lon * 1e6) AS BIGINT) || ' ' || CAST(round(lat * 1e6) AS BIGINT)"
     q["trajectory_lines"] = with_ctes(
         "traj",
-        "SELECT rank, side, mmsi, event_unix, count(*) FILTER (WHERE phase = 'before') AS n_before, "
+        "SELECT rank, side, mmsi, vessel_label, event_unix, count(*) FILTER (WHERE phase = 'before') AS n_before, "
         "count(*) FILTER (WHERE phase = 'after') AS n_after, "
         f"CASE WHEN count(*) FILTER (WHERE phase = 'before') >= 2 THEN string_agg({pt}, ',' ORDER BY ts_unix) "
         "FILTER (WHERE phase = 'before') END AS line_before, "
@@ -389,7 +391,8 @@ def oracle_queries() -> dict[str, str]:
         "FILTER (WHERE phase = 'after') END AS line_after, "
         "arg_min(lat, ts_unix) FILTER (WHERE phase = 'before') AS start_lat, "
         "arg_min(lon, ts_unix) FILTER (WHERE phase = 'before') AS start_lon, "
-        "arg_max(lat, ts_unix) AS end_lat, arg_max(lon, ts_unix) AS end_lon FROM traj GROUP BY rank, side, mmsi, event_unix",
+        "arg_max(lat, ts_unix) AS end_lat, arg_max(lon, ts_unix) AS end_lon FROM traj "
+        "GROUP BY rank, side, mmsi, vessel_label, event_unix",
     )
     q["event_report"] = with_ctes(
         "wevent",
