@@ -23,6 +23,7 @@ from tracklens.operators import score as sc
 from tracklens.operators import tracks as tr
 from tracklens.operators import trajectory as tj
 from tracklens.plans.materialize import materialize
+from tracklens.operators.tracks import TRACK_KEYS
 from tracklens.sources.fixture import FIXTURE_ORDER, pings_from_events
 
 CFG = EncounterConfig()
@@ -58,8 +59,9 @@ class Fixture:
 
     @cached_property
     def raw(self) -> DataFrame:
-        # Materialised like an ingested table: left lazy, Catalyst would inline
-        # the fixture's CASE expressions into every downstream predicate.
+        # Written once like an ingested input: left lazy, Catalyst would inline
+        # the fixture's CASE expressions into every downstream predicate; read
+        # from files, the track shuffle is shared by both lag branches.
         return materialize(pings_from_events(self.spark, self.spark.read.parquet(f"{self.sf_dir}/events.parquet")))
 
     @cached_property
@@ -101,11 +103,11 @@ class Fixture:
     # Fan-out points (each feeds several branches) are materialised once.
     @cached_property
     def cleaned(self):
-        return materialize(tr.clean_tracks(self.notsar, self.cfg, self.order))
+        return materialize(tr.clean_tracks(self.notsar, self.cfg, self.order), TRACK_KEYS)
 
     @cached_property
     def clean(self):
-        return materialize(tr.moving_vessels(self.cleaned, self.cfg))
+        return materialize(tr.moving_vessels(self.cleaned, self.cfg), TRACK_KEYS)
 
     @cached_property
     def pp(self):
@@ -144,11 +146,11 @@ class Fixture:
 
     @cached_property
     def scored(self):
-        return materialize(sc.score_candidates(self.cands, self.clean, self.cfg))
+        return sc.score_candidates(self.cands, self.clean, self.cfg)
 
     @cached_property
     def top(self):
-        return materialize(sc.top_k_pairs(self.scored, self.cfg.top_k_pairs))
+        return materialize(sc.top_k_pairs(self.scored, self.cfg.top_k_pairs), small=True)
 
     @cached_property
     def win(self):

@@ -4,14 +4,19 @@ Several results feed more than one branch (clean tracks feed the pairing,
 the silence check, the reaction windows and the trajectories).  Left lazy,
 every branch would re-plan and re-run the whole upstream lineage.  When the
 session names a shared checkpoint folder (``spark.checkpoint.dir``), the
-result is written there with a reliable ``checkpoint()``: the lineage is cut,
-a lost executor re-reads the files, and the partitioning of the result is
-kept.  Without a shared folder the result is persisted (memory and disk);
-lost blocks are then recomputed from the lineage.
+result is written there as a Parquet table and read back: the lineage is cut,
+a lost executor re-reads the files, later reads are columnar with column
+pruning, and tables keyed by vessel and time chunk are bucketed on those keys
+so windows, aggregates and joins on them need no new shuffle.  Without a
+shared folder the result is persisted (memory and disk); lost blocks are then
+recomputed from the lineage.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,7 +44,21 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    if shared_checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+def materialize(df: DataFrame, bucket_by: Sequence[str] | None = None, small: bool = False) -> DataFrame:
+    """Write ``df`` as a table in the shared checkpoint folder and return the
+    table (bucketed by ``bucket_by`` into ``spark.sql.shuffle.partitions``
+    buckets), or persist it when no shared folder is configured.  ``small``
+    results (a top-k report, bounded by configuration) are only persisted:
+    recomputing them after a loss is cheap and their lineage is short."""
+    spark = df.sparkSession
+    folder = shared_checkpoint_dir(spark)
+    if small or not folder:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    name = f"tracklens_{uuid.uuid4().hex}"
+    path = f"{folder.rstrip('/')}/tables/{name}"
+    if not bucket_by:
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").option("path", path).bucketBy(n, *bucket_by).saveAsTable(name)
+    return spark.table(name)

@@ -12,7 +12,7 @@ from tracklens.config import EncounterConfig
 from tracklens.operators.filters import select_pings
 from tracklens.operators.proximity import find_candidates, pairing_pings
 from tracklens.operators.score import score_candidates, top_k_pairs, winner_event, winner_from_top
-from tracklens.operators.tracks import clean_tracks, moving_vessels
+from tracklens.operators.tracks import TRACK_KEYS, clean_tracks, moving_vessels
 from tracklens.operators.trajectory import event_report, trajectories, trajectory_lines
 from tracklens.plans.materialize import materialize, shared_checkpoint_dir
 
@@ -45,19 +45,19 @@ def detect_encounters(
     scored: DataFrame | None = None,
 ) -> Encounters:
     """All results as DataFrames.  The fan-out points (clean tracks, pairing
-    pings, candidates, scored candidates) are materialised on the way (see
+    pings, candidates, top-k report) are materialised on the way (see
     :mod:`tracklens.plans.materialize`); everything after them is lazy.
     ``clean`` / ``candidates`` / ``scored`` may be passed in precomputed."""
     cfg = (cfg or EncounterConfig()).validate()
     if clean is None:
-        cleaned = materialize(clean_tracks(select_pings(pings, cfg), cfg, order))
-        clean = materialize(moving_vessels(cleaned, cfg))
+        cleaned = materialize(clean_tracks(select_pings(pings, cfg), cfg, order), TRACK_KEYS)
+        clean = materialize(moving_vessels(cleaned, cfg), TRACK_KEYS)
     if candidates is None:
         pp = materialize(pairing_pings(clean, cfg, order))
         candidates = materialize(find_candidates(clean, cfg, order, strategy, pp=pp))
     cands = candidates
-    scored = scored if scored is not None else materialize(score_candidates(cands, clean, cfg))
-    top = materialize(top_k_pairs(scored, cfg.top_k_pairs))
+    scored = scored if scored is not None else score_candidates(cands, clean, cfg)
+    top = materialize(top_k_pairs(scored, cfg.top_k_pairs), small=True)
     win = winner_from_top(top)
     wev = winner_event(win, cands)
     traj = trajectories(clean, top, cfg)
