@@ -57,3 +57,16 @@ def test_parquet_store_prunes_and_pushes_down(spark, scratch):
     assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(lat,", p)
     assert re.search(r"ReadSchema: struct<mmsi:bigint,ts_unix:bigint,lat:double,lon:double,mobile_type:string>", p)
     assert df.count() == fx.notsar.count()
+
+
+def test_pairing_lag_reuses_bucketed_track_table(spark):
+    """Over the clean-track table (bucketed by mmsi, track_chunk) the pairing
+    lag and its boundary summary need no shuffle of the pings."""
+    from tracklens.operators.proximity import pairing_pings
+
+    fx = Fixture(spark, "/root/testdata/sf0.01")
+    df = pairing_pings(fx.clean, CFG, ("event_id",))
+    df.collect()
+    p = _plan(df)
+    assert "REPARTITION_BY_COL" not in p
+    assert not re.search(r"Exchange hashpartitioning\(mmsi#\d+L, track_chunk#\d+L", p)

@@ -1,5 +1,5 @@
-"""The encounter job as one lazy plan, plus a runner that materialises the
-two fan-out points reliably and writes the results."""
+"""The encounter job: ``detect_encounters`` returns every result as a
+DataFrame (fan-out points materialised), ``run_job`` also writes them."""
 
 from __future__ import annotations
 
@@ -91,10 +91,15 @@ def run_job(
     re-reads checkpoint files instead of re-running the scan and self-join."""
     if not shared_checkpoint_dir(spark):
         raise RuntimeError("set spark.checkpoint.dir (a shared folder) before run_job")
-    res = detect_encounters(pings, cfg, order, strategy)
-    counts = {"clean": res.clean.count(), "candidates": res.candidates.count(), "scored": res.scored.count()}
+    first = detect_encounters(pings, cfg, order, strategy)
+    # The scored output doubles as the lineage cut for everything after it.
+    first.scored.write.mode(mode).parquet(f"{output_dir}/scored")
+    scored = spark.read.parquet(f"{output_dir}/scored")
+    res = detect_encounters(
+        pings, cfg, order, strategy, clean=first.clean, candidates=first.candidates, scored=scored
+    )
+    counts = {"clean": res.clean.count(), "candidates": res.candidates.count(), "scored": scored.count()}
     for name, df in (
-        ("scored", res.scored),
         ("top", res.top),
         ("trajectories", res.trajectories),
         ("lines", res.lines),
