@@ -70,3 +70,40 @@ def test_pairing_lag_reuses_bucketed_track_table(spark):
     p = _plan(df)
     assert "REPARTITION_BY_COL" not in p
     assert not re.search(r"Exchange hashpartitioning\(mmsi#\d+L, track_chunk#\d+L", p)
+
+
+def test_event_window_join_does_not_shuffle_pings(spark):
+    """Even when nothing may be broadcast, the +-120 s window join reads the
+    bucketed clean-track table without an exchange on the ping side."""
+    from tracklens.operators import reaction as rx
+
+    fx = Fixture(spark, "/root/testdata/sf0.01")
+    events = fx.events
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in old:
+            spark.conf.set(k, "-1")
+        df = rx.event_window_pings(events, fx.clean, CFG.reaction_window_s, CFG.track_chunk_s)
+        chunked = sorted(tuple(r) for r in df.select("mmsi", "event_unix", "ts_unix", "offset_s").collect())
+        p = _plan(df)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "SortMergeJoin" in p
+    lines = p.split("\n")
+    scans = [i for i, line in enumerate(lines) if "FileScan parquet spark_catalog.default.tracklens_" in line]
+    assert scans
+    for i in scans:
+        # between the join's Sort and the ping-table scan there is no Exchange
+        assert not any("Exchange" in line for line in lines[max(0, i - 2) : i]), lines[max(0, i - 3) : i + 1]
+    minute = sorted(
+        tuple(r)
+        for r in rx.event_window_pings(events, fx.clean, CFG.reaction_window_s)
+        .select("mmsi", "event_unix", "ts_unix", "offset_s")
+        .collect()
+    )
+    assert chunked == minute and len(chunked) > 100

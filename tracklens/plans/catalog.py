@@ -250,7 +250,9 @@ QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
          "silence_b", "silent_a", "silent_b", "silence_count", "min_silence_s"],
     ),
     "event_keys": lambda fx: fx.events,
-    "event_window_pings": lambda fx: rx.event_window_pings(fx.events, fx.clean, fx.cfg.reaction_window_s).select(
+    "event_window_pings": lambda fx: rx.event_window_pings(
+        fx.events, fx.clean, fx.cfg.reaction_window_s, fx.cfg.track_chunk_s
+    ).select(
         "mmsi", "event_unix", "ts_unix", "offset_s", "sog", "cog"
     ),
     "pre_post_kinematics": lambda fx: out(
