@@ -107,3 +107,23 @@ def test_event_window_join_does_not_shuffle_pings(spark):
         .collect()
     )
     assert chunked == minute and len(chunked) > 100
+
+
+def test_track_bucket_count_is_configurable(spark):
+    from dataclasses import replace
+
+    from tracklens.plans.pipeline import detect_encounters
+
+    fx = Fixture(spark, "/root/testdata/sf0.001")
+    cfg = replace(CFG, track_buckets=3)
+    res = detect_encounters(fx.raw, cfg, order=("event_id",))
+    agg = res.clean.groupBy("mmsi", "track_chunk").count()
+    agg.collect()
+    p = _plan(agg)
+    assert "SelectedBucketsCount: 3 out of 3" in p
+    assert "Exchange" not in p
+    base = detect_encounters(fx.raw, CFG, order=("event_id",))
+    cols = ["rank", "mmsi_a", "mmsi_b", "ts_unix_a", "collision_score"]
+    assert sorted(tuple(r) for r in res.top.select(*cols).collect()) == sorted(
+        tuple(r) for r in base.top.select(*cols).collect()
+    )

@@ -81,6 +81,9 @@ class EncounterConfig:
     # Ping-pair search grid, as a multiple of the close distance.  Larger cells
     # replicate fewer pings across borders; smaller cells compare fewer pairs.
     join_cell_factor: float = 4.0
+    # Buckets of the materialised track tables (None: spark.sql.shuffle.partitions).
+    # Size so one bucket of clean tracks fits a task comfortably.
+    track_buckets: int | None = None
     weights: ScoreWeights = field(default_factory=ScoreWeights)
 
     # --- derived values ----------------------------------------------------
@@ -116,6 +119,8 @@ class EncounterConfig:
             )
         if self.join_cell_factor < 1.0:
             raise ValueError("join_cell_factor must be >= 1")
+        if self.track_buckets is not None and self.track_buckets <= 0:
+            raise ValueError("track_buckets must be positive")
         if self.track_chunk_s <= 0 or self.time_bucket_s <= 0:
             raise ValueError("chunk and bucket lengths must be positive")
         return self

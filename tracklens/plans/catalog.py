@@ -103,11 +103,11 @@ class Fixture:
     # Fan-out points (each feeds several branches) are materialised once.
     @cached_property
     def cleaned(self):
-        return materialize(tr.clean_tracks(self.notsar, self.cfg, self.order), TRACK_KEYS)
+        return materialize(tr.clean_tracks(self.notsar, self.cfg, self.order), TRACK_KEYS, num_buckets=self.cfg.track_buckets)
 
     @cached_property
     def clean(self):
-        return materialize(tr.moving_vessels(self.cleaned, self.cfg), TRACK_KEYS)
+        return materialize(tr.moving_vessels(self.cleaned, self.cfg), TRACK_KEYS, num_buckets=self.cfg.track_buckets)
 
     @cached_property
     def pp(self):

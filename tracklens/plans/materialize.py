@@ -44,7 +44,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def materialize(df: DataFrame, bucket_by: Sequence[str] | None = None, small: bool = False) -> DataFrame:
+def materialize(
+    df: DataFrame, bucket_by: Sequence[str] | None = None, small: bool = False, num_buckets: int | None = None
+) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and return the
     table (bucketed by ``bucket_by`` into ``spark.sql.shuffle.partitions``
     buckets), or persist it when no shared folder is configured.  ``small``
@@ -59,6 +61,6 @@ def materialize(df: DataFrame, bucket_by: Sequence[str] | None = None, small: bo
     if not bucket_by:
         df.write.parquet(path)
         return spark.read.parquet(path)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = int(num_buckets or spark.conf.get("spark.sql.shuffle.partitions"))
     df.write.format("parquet").option("path", path).bucketBy(n, *bucket_by).saveAsTable(name)
     return spark.table(name)

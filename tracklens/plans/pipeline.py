@@ -50,8 +50,8 @@ def detect_encounters(
     ``clean`` / ``candidates`` / ``scored`` may be passed in precomputed."""
     cfg = (cfg or EncounterConfig()).validate()
     if clean is None:
-        cleaned = materialize(clean_tracks(select_pings(pings, cfg), cfg, order), TRACK_KEYS)
-        clean = materialize(moving_vessels(cleaned, cfg), TRACK_KEYS)
+        cleaned = materialize(clean_tracks(select_pings(pings, cfg), cfg, order), TRACK_KEYS, num_buckets=cfg.track_buckets)
+        clean = materialize(moving_vessels(cleaned, cfg), TRACK_KEYS, num_buckets=cfg.track_buckets)
     if candidates is None:
         pp = materialize(pairing_pings(clean, cfg, order))
         candidates = materialize(find_candidates(clean, cfg, order, strategy, pp=pp))
