@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tracklens.llm import url_reputation
+from tracklens.llm import hypergeometric_shards, quote_threads, url_reputation
 
 QUERIES = {
+    "op3_hypergeometric_shards": hypergeometric_shards.query,
+    "op9_quote_threads": quote_threads.query,
     "op10_url_reputation": url_reputation.query,
 }
 ORACLES = {
