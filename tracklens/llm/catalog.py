@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from tracklens.llm import hypergeometric_shards, ngram_join, quote_threads, url_reputation
+from tracklens.llm import hypergeometric_shards, ngram_join, quote_threads, suffix_automaton, url_reputation
 
 QUERIES = {
     "op1_ngram_join": ngram_join.query,
+    "op2_suffix_automaton": suffix_automaton.query,
     "op3_hypergeometric_shards": hypergeometric_shards.query,
     "op9_quote_threads": quote_threads.query,
     "op10_url_reputation": url_reputation.query,
 }
 ORACLES = {
     "op1_ngram_join": ngram_join.ORACLE,
+    "op2_suffix_automaton": suffix_automaton.ORACLE,
     "op10_url_reputation": url_reputation.ORACLE,
 }

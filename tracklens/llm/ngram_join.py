@@ -232,7 +232,7 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 ORACLE = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
-s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' '))
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
                                         WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM w),
 n AS (SELECT doc_id, coalesce(len(sh), 0) AS n_shingles FROM s),
 t AS (SELECT doc_id, unnest(sh) AS tok FROM s),
