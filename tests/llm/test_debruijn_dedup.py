@@ -1,0 +1,101 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from tracklens.llm import debruijn_dedup as D
+
+SCHEMA = "doc_id long, text string, ranges string, pos int"
+
+
+def words(text):
+    return [w for w in re.split(r"[\x20\x09-\x0d]+", text or "") if w]
+
+
+def brute(rows, k=D.K):
+    first = {}
+    for d, t in rows:
+        w = words(t)
+        for i in range(len(w) - k + 1) if d is not None else ():
+            x = tuple(w[i : i + k])
+            first[x] = min(first.get(x, d), d)
+    out = []
+    for d, t in rows:
+        w = words(t)
+        gone = set()
+        for i in range(len(w) - k + 1) if d is not None else ():
+            if first[tuple(w[i : i + k])] < d:
+                gone.update(range(i, i + k))
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        out.append((d, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def run(spark, rows, k=D.K):
+    df = spark.createDataFrame([(d, t, "clash", 1) for d, t in rows], SCHEMA).repartition(3)
+    return sorted((tuple(r) for r in D.digest_kept(df, k).collect()), key=str)
+
+
+def corpus(seed, vocab=300):
+    rnd = random.Random(seed)
+    v = [f"W{i}é" for i in range(vocab)]
+    passages = [rnd.choices(v, k=rnd.choice([13, 14, 30, 80])) for _ in range(8)]
+    rows = []
+    for i in range(70):
+        w = []
+        for _ in range(rnd.randint(0, 4)):
+            w += rnd.choices(v, k=rnd.randint(0, 25))
+            if rnd.random() < 0.7:
+                p = rnd.choice(passages)
+                a = rnd.randrange(len(p)) if rnd.random() < 0.5 else 0
+                w += p[a:]
+            if rnd.random() < 0.2:
+                w += [rnd.choice(v)] * rnd.randint(5, 40)  # cycles
+        rows.append((i * 3, rnd.choice([" ", "\n", " \t "]).join(w)))
+    rows += [(500 + i, rows[5][1]) for i in range(6)]
+    rnd.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("seed,vocab", [(1, 300), (2, 4), (3, 60)])
+def test_against_brute_force(spark, seed, vocab):
+    rows = corpus(seed, vocab)
+    assert run(spark, rows) == brute(rows)
+
+
+def test_nulls_repeats_and_shared_ids(spark):
+    base = " ".join(f"b{i}" for i in range(60))
+    rows = [(4, base), (4, base), (4, base + " tail of another text"), (9, base), (None, base), (2, None), (3, ""), (5, "x " * 400), (6, "x " * 300), (7, base.upper())]
+    assert run(spark, rows) == brute(rows)
+    assert run(spark, []) == []
+
+
+def test_spans_are_compared_with_their_source(spark):
+    import pyarrow as pa
+
+    texts = ["a b c d e f g h i j k l m n o p", "a b c d e f g h i j k l m n X p"]
+    sa, sb = D._Part(pa.array(texts)).signatures()
+    docs = spark.createDataFrame([(10, texts[0]), (20, texts[1])], "doc_id long, text string")
+    classes = spark.createDataFrame([(i + 1, (i + 1) * 10, int(sa[i]), int(sb[i])) for i in range(2)], "cls long, doc long, sig_a long, sig_b long")
+    claimed = spark.createDataFrame([(2, 20, 1, 0, 0, 4), (2, 20, 1, 0, 0, 2)], "cls long, doc long, o_cls long, start long, o_start long, n long")
+    good, bad = D._agreeing(claimed, classes, docs, D.K)
+    assert [r.n for r in good.collect()] == [2] and [r.n for r in bad.collect()] == [4]
+
+
+def test_paths_compact(spark):
+    """A passage in three documents is one path; a fork splits it."""
+    import pyspark.sql.functions as F
+
+    line = [(i, i + 1, 1, 1, i) for i in range(10)] + [(10, 11, 2, 2, 0), (11, 12, 2, 2, 1)]
+    df = spark.createDataFrame(line, "v_in long, v_out long, o_doc long, o_cls long, o_pos long")
+    assert D.compact(df).agg(F.countDistinct("path")).first()[0] == 1
+    fork = spark.createDataFrame([*line, (5, 99, 3, 3, 7)], df.schema)
+    assert D.compact(fork).agg(F.countDistinct("path")).first()[0] == 3
+
+
+def test_removal_keeps_untouched_text(spark):
+    base = " ".join(f"b{i}" for i in range(20))
+    rows = [(1, "Start  " + base + "\n end", "en"), (2, "Other\n\n" + base + "  rest  here", "en"), (3, base, "de"), (4, None, "fr")]
+    got = {r.doc_id: r for r in D.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string, cls string")).collect()}
+    assert set(got) == {1, 2, 4} and got[1].text == rows[0][1] and got[2].text == "Other\n\n  rest  here" and got[4].cls == "fr"

@@ -31,7 +31,17 @@ def settle(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.settled_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete settled tables that no result reads any more."""
+    for t in tables:
+        jvm, conf = t.sparkSession._jvm, t.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(t.settled_at)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def dense_rank_from_zero(
@@ -67,7 +77,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         large = large.where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        e = settle(small.where("u <> v").distinct(), name)
+        before, e = e, settle(small.where("u <> v").distinct(), name)
+        discard(before)
         now = e.agg(F.count(F.lit(1)), F.sum("v"), F.sum(F.xxhash64("u", "v").bitwiseAND(0xFFFFFFFF))).first()
         if now == last:
             break
