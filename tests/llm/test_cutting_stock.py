@@ -1,0 +1,107 @@
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tracklens.llm import cutting_stock as C
+
+SF = "/root/testdata/sf0.001"
+ODD = ["it's don't  I'LL 'tis", "é ́ x", "<|endoftext|> <|startoftext|>x", "İstanbul ÅNGSTRÖM", "a\u0085b c", "1234 5,6 \x1c x\x1dy", "😀👍🏽 中文 字 ﬁ", " \n", "", "A" * 3000, "#$% ### w!!"]
+
+
+def library_ids(texts):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(C.vocabulary_path())
+    t.encode_special_tokens = True
+    return [[*e.ids, 2] for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
+
+
+def test_ids_equal_the_library_on_whole_texts(spark):
+    texts = ODD + [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()] + [None]
+    coder = C.WordIds(C.vocabulary_path())
+    for _ in range(2):  # the second time from the cache
+        ids, off = C.text_ids(pa.array(texts), coder)
+        assert [ids[a:z].tolist() for a, z in zip(off[:-1], off[1:], strict=True)] == library_ids(texts)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plan_places_every_piece_and_is_near_the_bound(seed):
+    rnd = random.Random(seed)
+    room = rnd.choice([20, 64, 128])
+    histogram = {rnd.randint(1, room): rnd.randint(1, 400) for _ in range(rnd.randint(1, 30))}
+    plan = C.plan_sequences(histogram, room)
+    placed = {}
+    for times, pattern in plan:
+        assert sum(c * k for c, k in pattern.items()) <= room
+        for c, k in pattern.items():
+            placed[c] = placed.get(c, 0) + times * k
+    assert placed == histogram
+    cols, x = C.solve_patterns(np.array(sorted(histogram)), np.array([histogram[s] for s in sorted(histogram)], float), room, gap=1e-9)
+    bound = x.sum()  # the LP optimum bounds every packing from below
+    assert np.allclose(cols @ x, [histogram[s] for s in sorted(histogram)])
+    assert bound - 1e-6 <= sum(t for t, _ in plan) <= bound * 1.002 + len(histogram)
+
+
+def test_knapsack_against_brute_force():
+    rnd = random.Random(4)
+    for _ in range(30):
+        sizes = np.array(sorted(rnd.sample(range(1, 12), 4)))
+        value = np.array([rnd.random() for _ in sizes])
+        room = rnd.randint(1, 20)
+
+        def top(r, sizes=sizes, value=value):
+            return max([0.0] + [value[i] + top(r - int(s)) for i, s in enumerate(sizes) if s <= r])
+
+        got, count = C.best_pattern(value, sizes, room)
+        assert got == pytest.approx(top(room)) and count @ sizes <= room and count @ value == pytest.approx(got)
+
+
+def check(rows, texts):
+    """texts: doc_id -> list of texts of its rows."""
+    seqs, docs = {}, {}
+    for r in rows:
+        seqs.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        docs.setdefault(r.doc_id, []).append(r)
+    assert sorted(seqs) == list(range(len(seqs)))
+    for s in seqs.values():
+        at = 0
+        for o, n in sorted(s):
+            assert o == at
+            at += n
+        assert at <= C.LENGTH
+    assert set(docs) == set(texts)
+    for d, t in texts.items():
+        for ids in library_ids(t):
+            raw = np.array(ids, "<u4")
+            pieces = [r for r in docs[d] if r.doc_tokens == len(ids)]
+            for s in range(0, len(ids), C.LENGTH):
+                part = raw[s : s + C.LENGTH]
+                assert any((r.start, r.length, r.ids_crc32) == (s, len(part), zlib.crc32(part.tobytes())) for r in pieces)
+        assert sum(r.length for r in docs[d]) == sum(map(len, library_ids(t)))
+    return len(seqs)
+
+
+def test_query(spark):
+    texts = {r.doc_id: [r.text] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = C.query(spark, SF).collect()
+    n = check(rows, texts)
+    tokens = sum(r.length for r in rows)
+    assert n * C.LENGTH < 1.05 * tokens
+
+
+def test_edge_rows(spark, monkeypatch):
+    monkeypatch.setattr(C, "RANK_ROWS", 3)
+    long = "word " * 9000
+    rows = [(1, None), (2, ""), (3, long), (4, long), (4, long), (5, "a b"), (5, "c"), *[(10 + i, "same text here") for i in range(50)]]
+    texts = {}
+    for d, t in rows:
+        texts.setdefault(d, []).append(t)
+    df = spark.createDataFrame([(d, t, 1, 2) for d, t in rows], "doc_id long, text string, sequence_id int, _class int")
+    check(C.pack(C.token_pieces(df)).collect(), texts)
+    assert C.pack(C.token_pieces(df.limit(0))).count() == 0
+    assert C.pack(C.token_pieces(spark.createDataFrame([(None, "x")], "doc_id long, text string"))).count() == 1
+    ids = C.token_pieces(df.where("doc_id = 3"), with_ids=True).collect()
+    assert [x for r in sorted(ids, key=lambda r: r.start) for x in r.ids] == library_ids([long])[0]
