@@ -24,7 +24,8 @@ share at least l tokens among the first |x| - t + l of x and the first
    others) is paired with the rest; every class is verified against the
    ``HUBS`` hubs it meets most often, links are contracted to components.
 5. The remaining candidates are pairs of *different* components that share
-   min(l_x, l_y) tokens: all of them are verified.
+   min(l_x, l_y) tokens: all are verified but those that the intersections
+   with a common hub already exclude.
 
 Pairs inside a component that already holds together are never formed, so a
 group of n near copies costs about n pairs, not n^2; no link between different
@@ -53,7 +54,7 @@ NUM, DEN = 4, 5  # similarity of at least NUM / DEN
 BASE_SHARE = 20  # the first prefixes ask for 1 + size / BASE_SHARE shared tokens
 MAX_MATCHES = 16
 HUBS = 2
-VERIFY_COST = 24  # one verification in posting reads, per 100 tokens
+VERIFY_COST = 6  # one verification in posting reads, per 100 tokens
 
 
 def token_sets(batch: pa.RecordBatch, width: int = SHINGLE) -> list[np.ndarray]:
@@ -132,7 +133,7 @@ def choose_matches(df: np.ndarray, n: int) -> int:
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """cls, n, [(df, token)] -> postings of the adaptive prefix."""
     for batch in batches:
-        out = {k: [] for k in ("cls", "n", "need", "pos", "token")}
+        out = {k: [] for k in ("cls", "n", "common", "need", "pos", "token")}
         for cls, n, shared in zip(batch.column("cls").to_pylist(), batch.column("n").to_pylist(), batch.column("shared"), strict=True):
             rows = shared.values
             df, token = rows.field("df").to_numpy(), rows.field("token").to_numpy()
@@ -142,7 +143,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             need = choose_matches(df, n)
             k = max(0, min(n - least_overlap(n) + need - (n - len(df)), len(df)))
-            out["cls"].append(np.full(k, cls)), out["n"].append(np.full(k, n)), out["need"].append(np.full(k, need))
+            out["cls"].append(np.full(k, cls)), out["n"].append(np.full(k, n)), out["common"].append(np.full(k, len(df))), out["need"].append(np.full(k, need))
             out["pos"].append(np.arange(k) + n - len(df)), out["token"].append(token[:k])
         cat = {k: np.concatenate(v).astype(np.int64) if v else np.zeros(0, np.int64) for k, v in out.items()}
         yield pa.RecordBatch.from_arrays([pa.array(v) for v in cat.values()], list(cat))
@@ -154,12 +155,18 @@ _NEED = "least(a_need, b_need)"
 _ADMISSIBLE = f"{DEN} * a_n >= {NUM} * b_n AND {DEN} * b_n >= {NUM} * a_n AND a_pos < a_n - {_OVERLAP} + {_NEED} AND b_pos < b_n - {_OVERLAP} + {_NEED}"
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+#: Two classes verified against one hub share at most this many tokens: those
+#: both have in common with the hub, and those either shares with anyone else.
+_VIA_HUB = "least(a_inter, b_inter) + least(a_common - a_inter, b_common - b_inter)"
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
+    """The pairs (a, b) with the size of their intersection and the verdict."""
     left = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("cls").alias("b"), F.col("tokens").alias("y"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
-    return settle(both.where(DEN * F.col("i") >= NUM * (F.size("x") + F.size("y") - F.col("i"))).select("a", "b"), name)
+    both = pairs.join(left, "a").join(right, "b").withColumn("inter", F.size(F.array_intersect("x", "y")))
+    links = DEN * F.col("inter") >= NUM * (F.size("x") + F.size("y") - F.col("inter"))
+    return settle(both.select("a", "b", "inter", links.alias("links")), name)
 
 
 def _hub_pairs(prefixes: DataFrame) -> DataFrame:
@@ -174,22 +181,26 @@ def _hub_pairs(prefixes: DataFrame) -> DataFrame:
     return pairs.withColumn("r", F.row_number().over(best)).where(F.col("r") <= HUBS).select("a", "b")
 
 
-def _cross_pairs(prefixes: DataFrame, comp: DataFrame) -> DataFrame:
+def _cross_pairs(prefixes: DataFrame, comp: DataFrame, by_hub: DataFrame) -> DataFrame:
     """All pairs of different components that share enough prefix tokens.
 
     In a posting list only the classes outside the hub's component meet the
-    whole list: members of one large component are never paired."""
+    whole list: members of one large component are never paired.  What both
+    sides share with a hub they were compared with bounds what they can share
+    with each other; most pairs of a large loose group end at that bound."""
+    nearest = by_hub.groupBy(F.col("b").alias("cls")).agg(F.max(F.struct("inter", "a")).alias("h")).select("cls", F.col("h.a").alias("hub"), F.col("h.inter").cast("long").alias("inter"))
     labelled = prefixes.join(comp.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     mixed = labelled.groupBy("token").agg(
         F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct((F.col("pos") / F.col("n")).alias("at"), "comp")).alias("h")
     )
     mixed = mixed.where("lo < hi").select("token", F.col("h.comp").alias("main"))
-    rest = settle(labelled.join(mixed, "token"), "mixed")
-    side = lambda s: [F.col("cls").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("n", "need", "pos", "comp")]]
+    rest = settle(labelled.join(mixed, "token").join(nearest, "cls", "left"), "mixed")
+    side = lambda s: [F.col("cls").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("n", "need", "pos", "comp", "common", "hub", "inter")]]
     outside = rest.where("comp <> main").select("token", "main", *side("a"))
-    across = outside.join(rest.select("token", *side("b")), "token").where("a_comp <> b_comp AND (b_comp = main OR a < b)").where(_ADMISSIBLE)
-    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.expr(_NEED).alias("need"))
-    return across.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("need").alias("need")).where("shared >= need").select("a", "b")
+    met = outside.join(rest.select("token", *side("b")), "token").where("a_comp <> b_comp AND (b_comp = main OR a < b)").where(_ADMISSIBLE)
+    met = met.where(f"a_hub IS NULL OR b_hub IS NULL OR a_hub <> b_hub OR {_VIA_HUB} >= {_OVERLAP}")
+    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.expr(_NEED).alias("need"))
+    return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("need").alias("need")).where("shared >= need").select("a", "b")
 
 
 def similar_components(docs: DataFrame) -> DataFrame:
@@ -213,11 +224,12 @@ def similar_components(docs: DataFrame) -> DataFrame:
     tokens = sets.select("cls", "n", F.explode("tokens").alias("token"))
     df = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = tokens.join(df, "token").groupBy("cls", "n").agg(F.collect_list(F.struct("df", "token")).alias("shared"))  # at most the document's own tokens
-    prefixes = settle(shared.mapInArrow(_prefixes, "cls long, n long, need long, pos long, token long"), "prefixes")
+    prefixes = settle(shared.mapInArrow(_prefixes, "cls long, n long, common long, need long, pos long, token long"), "prefixes")
     # 4: hubs, then 5: what is left between components
-    links = _verified(_hub_pairs(prefixes), sets, "hub_links")
-    more = _verified(_cross_pairs(prefixes, components(links, "hub_components")), sets, "cross_links")
-    comp = components(links.union(more), "components")
+    by_hub = _compared(_hub_pairs(prefixes), sets, "hub_pairs")
+    links = by_hub.where("links").select("a", "b")
+    more = _compared(_cross_pairs(prefixes, components(links, "hub_components"), by_hub), sets, "cross_pairs").where("links")
+    comp = components(links.union(more.select("a", "b")), "components")
     # class -> smallest doc_id of its component
     of_class = classes.select("cls", "rep", "sig_a", "sig_b").join(comp.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     named = of_class.join(of_class.groupBy("comp").agg(F.min("rep").alias("component_id")), "comp").select("sig_a", "sig_b", "component_id")
