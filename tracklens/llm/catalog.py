@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tracklens.llm import cutting_stock, debruijn_dedup, hypergeometric_shards, ngram_join, quote_threads, suffix_automaton, url_reputation
+from tracklens.llm import cutting_stock, debruijn_dedup, hypergeometric_shards, multi_index_hashing, ngram_join, quote_threads, suffix_automaton, url_reputation
 
 QUERIES = {
     "op1_ngram_join": ngram_join.query,
     "op2_suffix_automaton": suffix_automaton.query,
     "op3_hypergeometric_shards": hypergeometric_shards.query,
     "op4_cutting_stock": cutting_stock.query,
+    "op5_multi_index_hashing": multi_index_hashing.query,
     "op7_debruijn_dedup": debruijn_dedup.query,
     "op9_quote_threads": quote_threads.query,
     "op10_url_reputation": url_reputation.query,
@@ -17,6 +18,7 @@ ORACLES = {
     "op1_ngram_join": ngram_join.ORACLE,
     "op2_suffix_automaton": suffix_automaton.ORACLE,
     "op4_cutting_stock": cutting_stock.query,
+    "op5_multi_index_hashing": multi_index_hashing.query,
     "op7_debruijn_dedup": debruijn_dedup.ORACLE,
     "op10_url_reputation": url_reputation.ORACLE,
 }
