@@ -120,12 +120,15 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def choose_matches(df: np.ndarray, n: int) -> int:
     """The l of least estimated cost for a set of n tokens whose shared tokens
-    have the ascending document frequencies ``df`` (unshared ones come first)."""
+    have the ascending document frequencies ``df`` (unshared ones come first).
+    The cost is that of partners of equal size, whose prefixes are the usual
+    case; what is posted covers partners of every size."""
     unshared = n - len(df)
     cum = np.concatenate([[0], np.cumsum(df)])
     most = max(1, min(MAX_MATCHES, least_overlap(n)))
     l = np.arange(1, most + 1)
-    inside = np.clip(n - least_overlap(n) + l - unshared, 0, len(df))
+    equal = -(-2 * NUM * n // (NUM + DEN))  # least overlap with a set of the same size
+    inside = np.clip(n - equal + l - unshared, 0, len(df))
     reads = cum[inside].astype(np.float64)
     return int(l[np.argmin(reads + VERIFY_COST * (n / 100) * reads / l)])
 
@@ -155,9 +158,17 @@ _NEED = "least(a_need, b_need)"
 _ADMISSIBLE = f"{DEN} * a_n >= {NUM} * b_n AND {DEN} * b_n >= {NUM} * a_n AND a_pos < a_n - {_OVERLAP} + {_NEED} AND b_pos < b_n - {_OVERLAP} + {_NEED}"
 
 
-#: Two classes verified against one hub share at most this many tokens: those
-#: both have in common with the hub, and those either shares with anyone else.
-_VIA_HUB = "least(a_inter, b_inter) + least(a_common - a_inter, b_common - b_inter)"
+def _via_hubs() -> str:
+    """Two classes compared with one hub share at most what both share with it
+    plus what either shares with anyone else; the pair stays if that reaches
+    the least overlap for every hub they have in common."""
+    terms = []
+    for i in range(HUBS):
+        for j in range(HUBS):
+            a, b = f"a_inter{i}", f"b_inter{j}"
+            reach = f"least({a}, {b}) + least(a_common - {a}, b_common - {b}) >= {_OVERLAP}"
+            terms.append(f"(NOT (a_hub{i} <=> b_hub{j}) OR a_hub{i} IS NULL OR {reach})")
+    return " AND ".join(terms)
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
@@ -188,17 +199,19 @@ def _cross_pairs(prefixes: DataFrame, comp: DataFrame, by_hub: DataFrame) -> Dat
     whole list: members of one large component are never paired.  What both
     sides share with a hub they were compared with bounds what they can share
     with each other; most pairs of a large loose group end at that bound."""
-    nearest = by_hub.groupBy(F.col("b").alias("cls")).agg(F.max(F.struct("inter", "a")).alias("h")).select("cls", F.col("h.a").alias("hub"), F.col("h.inter").cast("long").alias("inter"))
+    compared = by_hub.groupBy(F.col("b").alias("cls")).agg(F.collect_list(F.struct(F.col("a").alias("hub"), F.col("inter").cast("long").alias("inter"))).alias("h"))  # HUBS at most
+    hubs = [f"{c}{i}" for i in range(HUBS) for c in ("hub", "inter")]
+    compared = compared.select("cls", *[F.expr(f"get(h, {c[-1]}).{c[:-1]}").alias(c) for c in hubs])
     labelled = prefixes.join(comp.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     mixed = labelled.groupBy("token").agg(
         F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct((F.col("pos") / F.col("n")).alias("at"), "comp")).alias("h")
     )
     mixed = mixed.where("lo < hi").select("token", F.col("h.comp").alias("main"))
-    rest = settle(labelled.join(mixed, "token").join(nearest, "cls", "left"), "mixed")
-    side = lambda s: [F.col("cls").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("n", "need", "pos", "comp", "common", "hub", "inter")]]
+    rest = settle(labelled.join(mixed, "token").join(compared, "cls", "left"), "mixed")
+    side = lambda s: [F.col("cls").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("n", "need", "pos", "comp", "common", *hubs)]]
     outside = rest.where("comp <> main").select("token", "main", *side("a"))
     met = outside.join(rest.select("token", *side("b")), "token").where("a_comp <> b_comp AND (b_comp = main OR a < b)").where(_ADMISSIBLE)
-    met = met.where(f"a_hub IS NULL OR b_hub IS NULL OR a_hub <> b_hub OR {_VIA_HUB} >= {_OVERLAP}")
+    met = met.where(_via_hubs())
     met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.expr(_NEED).alias("need"))
     return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("need").alias("need")).where("shared >= need").select("a", "b")
 
