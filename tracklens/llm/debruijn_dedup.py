@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +44,7 @@ from tracklens.llm.text import as_long, flat_words, hash_words, mix, owners, sli
 
 K = 13
 GRAM = 5
+DIGESTS = ((101, 0x9E3779B97F4A7C15), (202, 0xC2B2AE3D27D4EB4F))  # (seed, odd base) of the span comparison
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -123,22 +125,34 @@ def _occurrences(k: int):
     return run
 
 
+def range_digests(hashes: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
+    """One 64-bit hash of each range of word hashes, from running sums (the
+    odd base has an inverse modulo 2^64)."""
+    power = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(len(hashes), base, np.uint64))])
+    inverse = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(len(hashes), pow(base, -1, 1 << 64), np.uint64))])
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * power[:-1], dtype=np.uint64)])
+    return mix((total[end] - total[start]) * inverse[start])
+
+
 def _digests(k: int):
+    """128 bits of every wanted range, from word hashes of other seeds than
+    the graph's."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch):
                 part = _Part(rows.column("text"))
                 own = _own(rows, part)
-                out: dict[str, list] = {c: [] for c in ("cls", "start", "n", "digest")}
-                wanted = rows.column("ranges").to_pylist()
-                for i, cls in enumerate(rows.column("cls").to_pylist()):
-                    if own[i]:
-                        words = part.words.slice(part.off[i], part.off[i + 1] - part.off[i]).to_pylist()
-                        for r in wanted[i]:
-                            text = " ".join(words[r["start"] : r["start"] + r["n"] + k - 1])
-                            out["cls"].append(cls), out["start"].append(r["start"]), out["n"].append(r["n"])
-                            out["digest"].append(hashlib.blake2b(text.encode(), digest_size=16).digest())
-                yield pa.RecordBatch.from_arrays([*[pa.array(out[c], pa.int64()) for c in ("cls", "start", "n")], pa.array(out["digest"], pa.binary())], list(out))
+                lists = rows.column("ranges")
+                count = np.where(own, pc.list_value_length(lists).to_numpy(zero_copy_only=False), 0)
+                flat = lists.flatten()
+                keep = np.repeat(own, pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+                start, n = (flat.field(c).to_numpy()[keep] for c in ("start", "n"))
+                row = np.repeat(np.arange(rows.num_rows), count)
+                a = part.off[:-1][row] + start
+                digest = [as_long(range_digests(hash_words(part.words, seed), a, a + n + k - 1, base)) for seed, base in DIGESTS]
+                cols = [rows.column("cls").to_numpy()[row], start, n, *digest]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["cls", "start", "n", "da", "db"])
 
     return run
 
@@ -177,10 +191,10 @@ def _agreeing(spans: DataFrame, classes: DataFrame, docs: DataFrame, k: int) ->
     ranges = spans.select("cls", "start", "n").union(spans.select("o_cls", "o_start", "n")).distinct()
     wanted = ranges.groupBy("cls").agg(F.collect_list(F.struct("start", "n")).alias("ranges")).join(classes, "cls")
     texts = docs.join(wanted.withColumnRenamed("doc", "doc_id"), "doc_id").select("cls", "sig_a", "sig_b", "ranges", "text")
-    dig = settle(texts.mapInArrow(_digests(k), "cls long, start long, n long, digest binary").distinct(), "digests")
-    here = dig.withColumnRenamed("digest", "here")
-    there = dig.select(F.col("cls").alias("o_cls"), F.col("start").alias("o_start"), "n", F.col("digest").alias("there"))
-    both = settle(spans.join(here, ["cls", "start", "n"]).join(there, ["o_cls", "o_start", "n"]).withColumn("ok", F.col("here") == F.col("there")).drop("here", "there"), "compared")
+    dig = settle(texts.mapInArrow(_digests(k), "cls long, start long, n long, da long, db long").distinct(), "digests")
+    there = dig.select(F.col("cls").alias("o_cls"), F.col("start").alias("o_start"), "n", F.col("da").alias("oa"), F.col("db").alias("ob"))
+    both = spans.join(dig, ["cls", "start", "n"]).join(there, ["o_cls", "o_start", "n"]).withColumn("ok", F.expr("da = oa AND db = ob"))
+    both = settle(both.drop("da", "db", "oa", "ob"), "compared")
     discard(dig)
     return both.where("ok").drop("ok"), both.where("NOT ok").drop("ok")
 
@@ -200,10 +214,11 @@ def repeated_ranges(docs: DataFrame, k: int = K) -> DataFrame:
     # 1: shared minimizers
     posts = classes.select("cls", "doc", F.explode("anchors").alias("anchor"))
     common = posts.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("anchor")
+    common = settle(common, "anchors")
     wanted = posts.join(common, "anchor", "left_semi").groupBy("cls").agg(F.collect_list("anchor").alias("anchors"))  # at most the document's own
     wanted = settle(wanted.join(names, "cls"), "wanted")
     names = settle(names, "names")
-    discard(classes)
+    discard(classes, common)
     # 2: edges
     texts = docs.join(wanted.withColumn("doc_id", F.col("doc")), "doc_id").select("cls", "doc", "sig_a", "sig_b", "anchors", "text")
     seen = settle(texts.mapInArrow(_occurrences(k), "v_in long, v_out long, doc long, cls long, pos long"), "windows")
@@ -219,6 +234,7 @@ def repeated_ranges(docs: DataFrame, k: int = K) -> DataFrame:
     spans = settle(spans.drop("run"), "spans")
     discard(seen, paths)
     good, bad = _agreeing(spans, names, docs, k)
+    discard(spans)
     if not bad.isEmpty():  # single windows of spans that differ somewhere
         step = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))
         single = bad.withColumn("i", step).select("cls", "doc", "o_cls", (F.col("start") + F.col("i")).alias("start"), (F.col("o_start") + F.col("i")).alias("o_start"), F.lit(1).cast("long").alias("n"))
@@ -252,15 +268,17 @@ def digest_kept(docs: DataFrame, k: int = K) -> DataFrame:
             for rows in slices(batch):
                 part = _Part(rows.column("text"))
                 sa, sb = part.signatures()
-                ranges, gone, kept = rows.column("_ranges"), [], []
-                for i in range(rows.num_rows):
-                    words = part.words.slice(part.off[i], part.off[i + 1] - part.off[i]).to_pylist()
-                    cut = _covered(ranges[i].as_py(), (int(sa[i]), int(sb[i])), len(words)) if ranges[i].is_valid else []
-                    gone.append(sum(b - a for a, b in cut))
-                    for a, b in reversed(cut):
-                        del words[a:b]
-                    kept.append(hashlib.sha256(" ".join(words).encode()).hexdigest())
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(np.diff(part.off)), pa.array(gone, pa.int64()), pa.array(kept)], ["doc_id", "n_words", "n_removed", "kept_sha256"])
+                ranges, stays = rows.column("_ranges"), np.ones(len(part.words), bool)
+                for i in np.flatnonzero(ranges.is_valid().to_numpy(zero_copy_only=False)).tolist():
+                    at = int(part.off[i])
+                    for a, b in _covered(ranges[i].as_py(), (int(sa[i]), int(sb[i])), int(part.off[i + 1]) - at):
+                        stays[at + a : at + b] = False
+                off = np.concatenate([[0], np.cumsum(stays)])[part.off]
+                kept = pc.binary_join(pa.LargeListArray.from_arrays(off, part.words.filter(pa.array(stays))), " ")
+                digest = [hashlib.sha256(x).hexdigest() for x in kept.cast(pa.large_binary()).to_pylist()]
+                n = np.diff(part.off)
+                cols = [rows.column("doc_id"), pa.array(n), pa.array(n - np.diff(off)), pa.array(digest, pa.string())]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     return _with_ranges(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), k).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
