@@ -98,32 +98,44 @@ class MultiIndex:
     """Substring indexes of one block of codes."""
 
     def __init__(self, block: np.ndarray):
-        self.codes = block
+        self.words = np.ascontiguousarray(block).view(np.uint64)
+        self.size = len(block)
         self.values, self.bucket, self.order, self.bounds = [], [], [], []
         for j in range(block.shape[1]):
             values, bucket = np.unique(block[:, j], return_inverse=True)
-            order = np.argsort(bucket, kind="stable")
             self.values.append(values)
             self.bucket.append(bucket)
-            self.order.append(order)
+            self.order.append(np.argsort(bucket, kind="stable"))
             self.bounds.append(np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=len(values)))]))
 
-    def within(self, code: np.ndarray, radius: int) -> np.ndarray:
-        """Every code within ``radius`` bits of ``code``."""
-        found = np.zeros(len(self.codes), bool)
-        for j, r in enumerate(substring_radii(radius, self.codes.shape[1])):
-            if r < 0:
-                continue
-            values = self.values[j]
-            if sum(math.comb(16, i) for i in range(r + 1)) < len(values):  # probe the neighbourhood
-                probe = code[j] ^ NEIGHBOURS[r]
-                at = np.minimum(np.searchsorted(values, probe), len(values) - 1)
-                for b in at[values[at] == probe]:
-                    found[self.order[j][self.bounds[j][b] : self.bounds[j][b + 1]]] = True
-            else:  # fewer buckets exist than probes: test the buckets
-                found |= (POPCOUNT[values ^ code[j]] <= r)[self.bucket[j]]
-        at = np.flatnonzero(found)
-        return at[hamming(self.codes[at], code) <= radius]
+    def distances(self, asked: np.ndarray) -> np.ndarray:
+        """Hamming distances, asked codes x block."""
+        words = np.ascontiguousarray(asked).view(np.uint64)
+        out = np.zeros((len(asked), self.size), np.uint16)
+        for w in range(words.shape[1]):
+            out += np.bitwise_count(words[:, w, None] ^ self.words[None, :, w])
+        return out
+
+    def within(self, asked: np.ndarray, radius: int, width: int = 32) -> Iterator[np.ndarray]:
+        """For each asked code the block's codes within ``radius`` bits."""
+        for start in range(0, len(asked), width):
+            some = asked[start : start + width]
+            found = np.zeros((len(some), self.size), bool)
+            for j, r in enumerate(substring_radii(radius, asked.shape[1])):
+                if r < 0:
+                    continue
+                values = self.values[j]
+                if len(NEIGHBOURS[r]) < len(values):  # look up each value of the neighbourhood
+                    for i, code in enumerate(some[:, j]):
+                        probe = code ^ NEIGHBOURS[r]
+                        at = np.minimum(np.searchsorted(values, probe), len(values) - 1)
+                        for b in at[values[at] == probe]:
+                            found[i, self.order[j][self.bounds[j][b] : self.bounds[j][b + 1]]] = True
+                else:  # the neighbourhood is larger than the index: see which of its buckets lie in it
+                    near = np.bitwise_count(some[:, j, None] ^ values[None, :]) <= r
+                    found |= np.take(near, self.bucket[j], axis=1)
+            found &= self.distances(some) <= radius
+            yield from (np.flatnonzero(row) for row in found)
 
 
 #: 16-bit masks with at most r bits set
@@ -185,11 +197,9 @@ def nearest(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP) -> Dat
             ids, first = block.column("cls").to_numpy(), block.column("first").to_numpy()
             mih = MultiIndex(codes(augmented(x, largest, query=False), planes))
             coded = codes(augmented(q, largest, query=True), planes)
-            for i, name in enumerate(asking.column("cls").to_numpy().tolist()):
-                at = mih.within(coded[i], radius)
+            for i, (name, at) in enumerate(zip(asking.column("cls").to_numpy().tolist(), mih.within(coded, radius), strict=True)):
                 if len(at) <= k:  # too few in this block: its nearest codes, so that no query goes short
-                    d = hamming(mih.codes, coded[i])
-                    at = np.argsort(d, kind="stable")[: k + 1]
+                    at = np.argsort(mih.distances(coded[i : i + 1])[0], kind="stable")[: k + 1]
                 score = x[at] @ q[i]
                 top = best(score, first[at], k + 1)
                 out["query"].append(np.full(len(top), name)), out["cls"].append(ids[at[top]])
