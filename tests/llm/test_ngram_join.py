@@ -99,6 +99,7 @@ def test_prefix_choice_counts_costs():
     import numpy as np
 
     assert N.choose_matches(np.full(100, 2), 100) >= 1
-    cheap, dear = np.full(100, 2), np.concatenate([np.full(21, 2), np.full(79, 10**6)])
+    # with a set of 100 tokens of equal size the prefix of l = 1 has 100 - 89 + 1 tokens
+    cheap, dear = np.full(100, 2), np.concatenate([np.full(12, 2), np.full(88, 10**6)])
     assert N.choose_matches(dear, 100) == 1  # longer prefixes would read frequent tokens
     assert N.choose_matches(cheap, 100) > 1

@@ -226,6 +226,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     # 2: hash-order prefixes
     posts = classes.select("cls", "n", F.explode("prefix").alias("token"))
     common = posts.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("token")
+    common = settle(common, "common")
     smallest = F.ceil(NUM * F.col("n") / DEN)
     needed = 1 + F.floor(smallest / BASE_SHARE)
     active = posts.join(common, "token", "left_semi").groupBy("cls", "n").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= needed)
@@ -235,7 +236,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     sets = settle(sets.dropDuplicates(["cls"]), "sets")  # a repeated row of the representative
     # 3: exact frequencies, adaptive prefixes
     tokens = sets.select("cls", "n", F.explode("tokens").alias("token"))
-    df = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    df = settle(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "frequencies")
     shared = tokens.join(df, "token").groupBy("cls", "n").agg(F.collect_list(F.struct("df", "token")).alias("shared"))  # at most the document's own tokens
     prefixes = settle(shared.mapInArrow(_prefixes, "cls long, n long, common long, need long, pos long, token long"), "prefixes")
     # 4: hubs, then 5: what is left between components
