@@ -1,10 +1,79 @@
-"""Corpus pipeline (stages follow as their operators are built)."""
+"""Corpus pipeline over ``documents``: quality, near duplicates, repeated
+spans, benchmark passages, packing.
+
+``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and
+returns a DataFrame, which ``run`` writes as Parquet and reads back as the next
+stage's docs.  All but the last return the columns of ``documents``; n_chars
+follows the text where a stage changes it.  No SQL can express the classifier,
+so ``ORACLE_SQL`` is None; the stages are tested against brute force.
+
+Edge cases: null doc_ids pass the quality stage like others, are nobody's
+duplicate and lose no repeated span; null and empty texts are scored like any
+text (an empty one is usually rejected); a repeated row of the document that
+stays is dropped with the other duplicates; an empty table stays empty.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tracklens.llm import cutting_stock, debruijn_dedup, ngram_join, subword_quality, suffix_automaton
+from tracklens.llm.stages import settle
+
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
+def _counted(docs: DataFrame) -> DataFrame:
+    """n_chars of the text as it is now."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject."""
+    weights, bias = subword_quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), "quality")
+    scored = subword_quality.score_texts(docs, weights, bias, out="_quality")
+    return scored.where(F.col("_quality") >= subword_quality.THRESHOLD).drop("_quality")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest doc_id, of each group of near copies."""
+    groups = ngram_join.similar_components(docs.select("doc_id", "text"))
+    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.where("doc_id IS NOT NULL").join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+
+
+def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the word windows that start in an earlier document."""
+    return _counted(debruijn_dedup.remove_repeats(docs))
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without benchmark windows; texts that are mostly benchmark go."""
+    return _counted(suffix_automaton.remove_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences of at most 4096 ids: one row per piece, with its ids."""
+    return cutting_stock.pack(cutting_stock.token_pieces(docs, with_ids=True))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("repeated_spans", repeated_spans),
+    ("benchmark_passages", benchmark_passages),
+    ("packing", packing),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        docs = settle(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

@@ -116,3 +116,19 @@ def owners(offsets: np.ndarray) -> np.ndarray:
 def as_long(x: np.ndarray) -> np.ndarray:
     """The same 64 bits as signed longs."""
     return x.view(np.int64)
+
+
+def code_points(distinct: pa.Array, left: str, right: str) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of every word between the two marks, flat, and offsets."""
+    words = distinct.to_pylist()
+    if not words:
+        return np.zeros(0, np.uint32), np.zeros(1, np.int64)
+    flat = np.frombuffer((left + (right + left).join(words) + right).encode("utf-32-le"), np.uint32)
+    size = pc.utf8_length(distinct).to_numpy(zero_copy_only=False).astype(np.int64) + 2
+    return flat, np.concatenate([[0], np.cumsum(size)])
+
+
+def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sum of ``values`` between consecutive offsets (empty stretches: 0)."""
+    total = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])
+    return total[offsets[1:]] - total[offsets[:-1]]
