@@ -19,6 +19,7 @@ extra columns pass through ``token_pieces`` untouched only where asked for.
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 import os
 import zlib
@@ -38,15 +39,18 @@ END = 2
 VOCABULARY = "word_bpe_49k.json"
 GAP = 1e-3  # column generation stops within this share of the LP's optimum
 RANK_ROWS = 50_000
-CACHED_WORDS = 400_000  # per Python worker
-CACHED_CHARS = 64
+CACHED_WORDS = 600_000  # per Python worker, before the next slice adds its own
+TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII punctuation but the apostrophe, which may start a suffix
+LETTERS_END = "\u0250"  # Latin letters end here
 
 
 class WordIds:
     """Token ids of white-space separated words, with a bounded cache.
 
-    The vocabulary's tokens never reach over white space, so a text's ids are
-    its words' ids one after another."""
+    The vocabulary's tokens never reach over white space, nor from a letter or
+    digit into the punctuation after it, so a text's ids are those of its
+    words, and a word's are those of its stem and of the ``TAIL`` behind it.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -54,29 +58,52 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.merge = self.tokenizer.model.tokenize
         self._clear()
 
     def _clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.start, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.pieces: dict[str, int] = {"": 0}  # piece -> its place in start
+        self.start, self.flat = np.zeros(2, np.int64), np.zeros(0, np.uint32)
+        self.words: dict[str, int] = {}  # word -> its row in parts
+        self.parts = np.zeros((0, 2), np.int64)
+
+    def _encode(self, pieces: list[str]) -> list[list[int]]:
+        """The ids of each piece; plain lower-case ASCII words go to the merge
+        model at once, the rest through normaliser and splitter in one call."""
+        plain = [p.isascii() and p.isalpha() and p.islower() for p in pieces]
+        rest = iter(self.tokenizer.encode_batch_fast([p for p, x in zip(pieces, plain, strict=True) if not x], add_special_tokens=False))
+        return [[t.id for t in self.merge(p)] if x else next(rest).ids for p, x in zip(pieces, plain, strict=True)]
+
+    def _add(self, words: list[str]) -> None:
+        rows, new, pieces, n = [], [], self.pieces, len(self.start) - 1
+        for word in words:
+            stem = word.rstrip(TAIL)
+            if stem == word or not stem or not stem[-1].isalnum() or stem[-1] >= LETTERS_END or stem[-1] == "\u0130":
+                stem, tail = word, ""  # (U+0130 lowers to a letter and a mark)
+            else:
+                tail = word[len(stem) :]
+            for piece in (stem, tail):
+                if piece not in pieces:
+                    pieces[piece] = n + len(new)
+                    new.append(piece)
+            rows.append((pieces[stem], pieces[tail]))
+        self.words.update(zip(words, range(len(self.parts), len(self.parts) + len(words))))
+        self.parts = np.concatenate([self.parts, np.array(rows, np.int64)])
+        if new:
+            ids = self._encode(new)
+            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum([len(x) for x in ids])])
+            self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(ids), np.uint32)])
 
     def __call__(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(flat ids, first, past the last) for each of the distinct words."""
-        if len(self.place) > CACHED_WORDS:
+        """(flat ids, first, past the last) of the stem and the tail of each of
+        the distinct words: arrays of two columns."""
+        if len(self.words) > CACHED_WORDS or len(self.flat) > 16 * CACHED_WORDS:
             self._clear()
-        at = np.fromiter((self.place.get(w, -1) for w in distinct), np.int64, len(distinct))
-        missing = np.flatnonzero(at < 0)
-        start, flat = self.start, self.flat
-        if len(missing):
-            new = [distinct[i] for i in missing]
-            coded = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
-            ids, word = np.array(coded.ids, np.uint32), np.array(coded.word_ids, np.int64)
-            at[missing] = np.arange(len(new)) + len(start) - 1
-            start = np.concatenate([start, start[-1] + np.cumsum(np.bincount(word, minlength=len(new)))]) if len(ids) else np.concatenate([start, np.full(len(new), start[-1])])
-            flat = np.concatenate([flat, ids])
-            self.place.update((w, int(i)) for w, i in zip(new, at[missing], strict=True) if len(w) <= CACHED_CHARS)
-            self.start, self.flat = start, flat
-        return flat, start[at], start[at + 1]
+        missing = [w for w in distinct if w not in self.words]
+        if missing:
+            self._add(missing)
+        at = self.parts[np.fromiter(map(self.words.__getitem__, distinct), np.int64, len(distinct))]
+        return self.flat, self.start[at], self.start[at + 1]
 
 
 @functools.lru_cache(maxsize=2)
@@ -92,16 +119,19 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 def text_ids(texts: pa.Array, ids: WordIds, end: int = END) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, each closed by ``end``, and the texts' offsets."""
-    words, off = flat_words(texts, lower=False)
+    words, off = flat_words(texts, lower=True)  # the tokenizer lowers case; doing it first leaves fewer words
     code, distinct = encode(words)
     flat, first, last = ids(distinct.to_pylist())
     first, size = first[code], (last - first)[code]
-    until = np.concatenate([[0], np.cumsum(size)])  # ids before each word
-    doc_off = until[off] + np.arange(len(off))
+    until = np.concatenate([[0], np.cumsum(size.sum(1))])[off]  # ids before each text
+    doc_off = until + np.arange(len(off))
+    first, size = first.ravel(), size.ravel()  # stem, tail, stem, tail, ...
+    first, size = first[size > 0], size[size > 0]
+    source = np.arange(until[-1]) + np.repeat(first - np.cumsum(size) + size, size)
     out = np.full(int(doc_off[-1]), end, np.uint32)
-    source = np.arange(until[-1]) + np.repeat(first - until[:-1], size)
-    doc_of_id = np.repeat(np.arange(len(off) - 1), np.diff(until[off]))
-    out[np.arange(until[-1]) + doc_of_id] = flat[source]
+    inside = np.ones(len(out), bool)
+    inside[doc_off[1:] - 1] = False
+    out[inside] = flat[source]
     return out, doc_off
 
 
