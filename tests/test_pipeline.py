@@ -21,9 +21,9 @@ def test_run_job_writes_results(spark, scratch):
 def test_display_name_fallback(spark):
     from tracklens.operators.trajectory import display_name
 
-    df = spark.createDataFrame([("KARIN HOEJ", 1), (None, 219000007), ("", 5)], "name string, mmsi long")
+    df = spark.createDataFrame([("NORTHERN GULL", 1), (None, 219000007), ("", 5)], "name string, mmsi long")
     assert [r.l for r in df.select(display_name("name", "mmsi").alias("l")).collect()] == [
-        "KARIN HOEJ",
+        "NORTHERN GULL",
         "MMSI 219000007",
         "MMSI 5",
     ]

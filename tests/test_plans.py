@@ -9,7 +9,7 @@ from tracklens.operators.filters import select_pings
 from tracklens.operators.tracks import clean_tracks
 from tracklens.plans.catalog import Fixture
 from tracklens.plans.pipeline import detect_encounters
-from tracklens.sources.store import read_pings, write_pings
+from tracklens.sources.store import DAY_COLUMN, read_pings, write_pings
 
 CFG = EncounterConfig()
 
@@ -51,7 +51,7 @@ def test_parquet_store_prunes_and_pushes_down(spark, scratch):
     fx = Fixture(spark, "/root/testdata/sf0.001")
     path = os.path.join(scratch, "pings")
     write_pings(fx.raw.drop("event_id"), path)
-    df = select_pings(read_pings(spark, path), CFG).select("mmsi", "lat")
+    df = select_pings(read_pings(spark, path), CFG, DAY_COLUMN).select("mmsi", "lat")
     p = _plan(df)
     assert "PartitionFilters: [isnotnull(day" in p
     assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(lat,", p)

@@ -21,7 +21,7 @@ def test_csv_parse_and_bad_rows(spark, scratch):
     d = _csv(
         scratch,
         [
-            "13/12/2021 02:27:29,Class A,219021240,55.223079,14.243707,Under way,0,9.5,233.1,230,Unknown,OXRW2,KARIN HOEJ,Cargo,x",
+            "13/12/2021 02:27:29,Class A,219021240,55.223079,14.243707,Under way,0,9.5,233.1,230,Unknown,OXRW2,NORTHERN GULL,Cargo,x",
             "bad,Class A,219021241,55.0,14.0,Under way,0,1,1,1,Unknown,X,A,Cargo,x",
             "13/12/2021 02:27:30,Class A,abc,55.0,14.0,Under way,0,1,1,1,Unknown,X,A,Cargo,x",
             "13/12/2021 02:27:31,Class A,219021242,91,14.0,Under way,0,1,1,1,Unknown,X,A,Cargo,x",
@@ -33,7 +33,7 @@ def test_csv_parse_and_bad_rows(spark, scratch):
     assert [r.mmsi for r in rows] == [219021240, 219021244]
     first = rows[0]
     assert first.ts_unix == 1639362449
-    assert first.name == "KARIN HOEJ" and first.mobile_type == "Class A" and first.ship_type == "Cargo"
+    assert first.name == "NORTHERN GULL" and first.mobile_type == "Class A" and first.ship_type == "Cargo"
     assert abs(first.sog - 9.5) < 1e-12 and abs(first.cog - 233.1) < 1e-12
     last = rows[1]
     assert last.sog is None and last.cog is None and last.name is None

@@ -81,6 +81,11 @@ class EncounterConfig:
     # Ping-pair search grid, as a multiple of the close distance.  Larger cells
     # replicate fewer pings across borders; smaller cells compare fewer pairs.
     join_cell_factor: float = 4.0
+    # Copies a cell-minute is split into for the pair join: side B is dealt to one
+    # of them by vessel, side A is copied to all.  1: not split.  Raise it where
+    # single cell-minutes hold tens of thousands of pings (the join compares
+    # their square); each step costs one more copy of the moving pings.
+    cell_salts: int = 1
     # Buckets of the materialised track tables (None: spark.sql.shuffle.partitions).
     # Size so one bucket of clean tracks fits a task comfortably.
     track_buckets: int | None = None
@@ -97,18 +102,25 @@ class EncounterConfig:
 
     @property
     def lat_margin_deg(self) -> float:
-        return self.radius_nm / 60.0
+        """At least the circle's angular radius (a degree is 60 nm or a little more here)."""
+        return max(self.radius_nm / 60.0, math.degrees(self.radius_nm / EARTH_RADIUS_NM))
 
     @property
     def lon_margin_deg(self) -> float:
-        return self.radius_nm / (60.0 * math.cos(math.radians(self.center_lat)))
+        """At least the circle's largest longitude difference,
+        asin(sin(radius) / cos(centre)); the flat-earth margin where it is wider."""
+        cos = math.cos(math.radians(self.center_lat))
+        widest = math.sin(self.radius_nm / EARTH_RADIUS_NM) / cos if cos > 0 else 1.0
+        return max(self.radius_nm / (60.0 * cos), math.degrees(math.asin(min(1.0, widest)))) if widest < 1 else 180.0
 
     @property
     def max_abs_lat(self) -> float:
         """Largest |latitude| a ping inside the search circle can have."""
-        return min(90.0, abs(self.center_lat) + self.radius_nm / 60.0 + 1e-9)
+        return min(90.0, abs(self.center_lat) + self.lat_margin_deg + 1e-9)
 
     def validate(self) -> "EncounterConfig":
+        if abs(self.center_lat) + self.lat_margin_deg > 90 or abs(self.center_lon) + self.lon_margin_deg > 180:
+            raise ValueError("the search circle reaches a pole or the antimeridian; split the area")
         # The 3x3 neighbourhood of the density grid only covers the close
         # distance while a cell is at least that wide at the highest latitude.
         cell_nm = self.grid_cell_deg * 60.0 * math.cos(math.radians(self.max_abs_lat))
@@ -117,6 +129,8 @@ class EncounterConfig:
                 f"grid cell {self.grid_cell_deg} deg is {cell_nm:.4f} nm wide at "
                 f"lat {self.max_abs_lat:.2f}, below the close distance {self.close_distance_nm} nm"
             )
+        if self.cell_salts < 1:
+            raise ValueError("cell_salts must be >= 1")
         if self.join_cell_factor < 1.0:
             raise ValueError("join_cell_factor must be >= 1")
         if self.track_buckets is not None and self.track_buckets <= 0:

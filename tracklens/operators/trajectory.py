@@ -1,17 +1,19 @@
 """Trajectories around events, polylines and the event report.
 
-Windows come from the top-k report (at most 2k rows for k pairs), so they
-are broadcast with a size fixed by the configuration; the pings are streamed
-through a broadcast hash join on mmsi with the time range as a residual
-condition -- no shuffle of the pings and no driver-side OR-predicate.
+A window around an event is matched to the pings through (mmsi, track_chunk),
+the pings' own partitioning: each window is expanded to the few chunks it
+touches, so the pings are neither shuffled nor compared with other windows,
+and nothing depends on the report being small enough to broadcast.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracklens.config import METRES_PER_NM, EncounterConfig
+from tracklens.functions.geo import utc_day
+from tracklens.operators.tracks import CHUNK, checked_chunks
 
 _DEFAULT = EncounterConfig()
 POINT_COLS = ("ts", "ts_unix", "lat", "lon", "sog", "cog")
@@ -27,12 +29,26 @@ def trajectory_one(pings: DataFrame, mmsi: int, center_unix: int, window_s: int
     )
 
 
-def trajectory_around(pings: DataFrame, events: DataFrame, window_s: int = 600) -> DataFrame:
-    """Pings of ``events.mmsi`` within +-window_s of ``events.center_unix``;
-    ``events`` is small (a report) and is broadcast."""
-    ev = F.broadcast(events.select(F.col("mmsi").alias("_m"), F.col("center_unix").alias("_c"), *[c for c in events.columns if c not in ("mmsi", "center_unix")]))
-    cond = (F.col("mmsi") == F.col("_m")) & F.col("ts_unix").between(F.col("_c") - window_s, F.col("_c") + window_s)
-    return pings.join(ev, cond, "inner").drop("_m", "_c")
+def _in_windows(pings: DataFrame, windows: DataFrame, center: str, window_s: int, how: str, chunk_s: int) -> DataFrame:
+    """Join ``windows`` (mmsi, ``center``, ...) to the pings within
+    +-window_s of the centre, by (mmsi, track_chunk)."""
+    if CHUNK in pings.columns:
+        pings = checked_chunks(pings, chunk_s)
+    else:
+        pings = pings.withColumn(CHUNK, F.floor(F.col("ts_unix") / chunk_s))
+    ends = [F.floor((F.col(center) + d) / chunk_s) for d in (-window_s, window_s)]
+    w = windows.withColumn(CHUNK, F.explode(F.sequence(*ends))).withColumnsRenamed({"mmsi": "_m", CHUNK: "_chunk"})
+    near = F.col("ts_unix").between(F.col(center) - window_s, F.col(center) + window_s)
+    joined = pings.join(w, (F.col("mmsi") == F.col("_m")) & (F.col(CHUNK) == F.col("_chunk")) & near, how)
+    return joined.drop("_m", "_chunk")
+
+
+def trajectory_around(pings: DataFrame, events: DataFrame, window_s: int = 600, chunk_s: int = _DEFAULT.track_chunk_s) -> DataFrame:
+    """Pings of ``events.mmsi`` within +-window_s of ``events.center_unix``."""
+    events = events.withColumnRenamed("center_unix", "_c")
+    kept = [c for c in pings.columns if c != CHUNK]
+    extra = [c for c in events.columns if c not in ("mmsi", "_c")]
+    return _in_windows(pings, events, "_c", window_s, "inner", chunk_s).select(*kept, *extra)
 
 
 def event_windows(top: DataFrame) -> DataFrame:
@@ -60,18 +76,14 @@ def trajectories(pings: DataFrame, top: DataFrame, cfg: EncounterConfig = _DEFAU
     Adds ``rank, side, phase`` ('before' if at or before the event time)."""
     w = cfg.trajectory_window_s
     windows = event_windows(top)
-    fetch = F.broadcast(windows.select(F.col("mmsi").alias("_fm"), F.col("fetch_unix").alias("_fc")))
-    fetched = pings.join(
-        fetch, (F.col("mmsi") == F.col("_fm")) & F.col("ts_unix").between(F.col("_fc") - w, F.col("_fc") + w), "left_semi"
-    )
-    shown = F.broadcast(windows.select("rank", "side", F.col("mmsi").alias("_m"), "vessel_label", "event_unix"))
-    cols = [c for c in ("mmsi", *POINT_COLS) if c in pings.columns]
-    out = fetched.select(*cols).join(
-        shown, (F.col("mmsi") == F.col("_m")) & F.col("ts_unix").between(F.col("event_unix") - w, F.col("event_unix") + w), "inner"
-    )
+    fetch = windows.select("mmsi", F.col("fetch_unix").alias("_fc"))
+    shown = windows.select("rank", "side", "mmsi", "vessel_label", "event_unix")
+    cols = [c for c in ("mmsi", *POINT_COLS, CHUNK) if c in pings.columns]
+    fetched = _in_windows(pings.select(*cols), fetch, "_fc", w, "left_semi", cfg.track_chunk_s)
+    out = _in_windows(fetched, shown, "event_unix", w, "inner", cfg.track_chunk_s).drop(CHUNK)
     return out.withColumn(
         "phase", F.when(F.col("ts_unix") <= F.col("event_unix"), F.lit("before")).otherwise(F.lit("after"))
-    ).drop("_m")
+    )
 
 
 def trajectory_lines(traj: DataFrame) -> DataFrame:
@@ -103,6 +115,12 @@ def trajectory_lines(traj: DataFrame) -> DataFrame:
     )
 
 
+def utc_text(unix: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of epoch seconds in UTC, whatever the session's time zone."""
+    clock = [F.lpad((F.pmod(unix, F.lit(86400)) / div % mod).cast("int").cast("string"), 2, "0") for div, mod in ((3600, 24), (60, 60), (1, 60))]
+    return F.concat_ws(" ", utc_day(unix).cast("string"), F.concat_ws(":", *clock))
+
+
 def event_report(ev: DataFrame) -> DataFrame:
     """Report record of the winning event: names (fallback 'Unknown'), UTC
     time text, midpoint (6 decimals), distance in m (1) and nm (4)."""
@@ -112,7 +130,7 @@ def event_report(ev: DataFrame) -> DataFrame:
         F.coalesce(F.nullif(F.col("name_a"), F.lit("")), F.lit("Unknown")).alias("vessel_a"),
         F.coalesce(F.nullif(F.col("name_b"), F.lit("")), F.lit("Unknown")).alias("vessel_b"),
         "event_unix",
-        F.concat(F.date_format(F.timestamp_seconds("event_unix"), "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC")).alias("timestamp_utc"),
+        F.concat(utc_text(F.col("event_unix")), F.lit(" UTC")).alias("timestamp_utc"),
         F.round("event_lat", 6).alias("latitude"),
         F.round("event_lon", 6).alias("longitude"),
         F.round(F.col("distance_nm") * METRES_PER_NM, 1).alias("distance_m"),

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklens.config import EncounterConfig
-from tracklens.functions.geo import haversine_nm
+from tracklens.functions.geo import haversine_nm, utc_day
 from tracklens.operators import filters as flt
 from tracklens.operators import proximity as prox
 from tracklens.operators import reaction as rx
@@ -24,6 +24,8 @@ from tracklens.operators import tracks as tr
 from tracklens.operators import trajectory as tj
 from tracklens.plans.materialize import materialize
 from tracklens.operators.tracks import TRACK_KEYS
+from tracklens.schema import CSV_COLUMNS
+from tracklens.sources.ais_csv import parse_ais
 from tracklens.sources.fixture import FIXTURE_ORDER, pings_from_events
 
 CFG = EncounterConfig()
@@ -165,33 +167,59 @@ class Fixture:
         return tj.trajectories(self.clean, self.top, self.cfg)
 
 
-def _stage_counts(fx: Fixture) -> DataFrame:
-    def vessels(df, stage):
-        return df.agg(F.lit(stage).alias("stage"), F.count("*").alias("n_rows"), F.count_distinct("mmsi").alias("n_vessels"))
+def _by_stage(groups: DataFrame, stages: list[str]) -> DataFrame:
+    """One row per vessel or pair with its row count at each stage -> one row
+    per stage: rows, and groups that have any."""
+    totals = groups.agg(
+        *[F.coalesce(F.sum(s), F.lit(0)).alias(f"rows_{s}") for s in stages],
+        *[F.count(F.when(F.col(s) > 0, 1)).alias(f"groups_{s}") for s in stages],
+    )
+    rows = [F.struct(F.lit(s).alias("stage"), F.col(f"rows_{s}").alias("n_rows"), F.col(f"groups_{s}").alias("n_vessels")) for s in stages]
+    return totals.select(F.inline(F.array(*rows)))
 
-    def pairs(df, stage):
-        return df.agg(
-            F.lit(stage).alias("stage"), F.count("*").alias("n_rows"), F.count_distinct("mmsi_a", "mmsi_b").alias("n_vessels")
-        )
 
-    parts = [
-        vessels(fx.raw, "raw"), vessels(fx.valid, "valid"), vessels(fx.timew, "time_window"), vessels(fx.bbox, "bbox"),
-        vessels(fx.radius, "radius"), vessels(fx.classa, "class_a"), vessels(fx.notsar, "not_sar"),
-        vessels(fx.dedup, "dedup"), vessels(fx.cleaned, "implied_speed"), vessels(fx.clean, "moving_vessels"),
-        vessels(fx.pp, "moving_pings"), pairs(fx.pairs(), "close_pairs"), pairs(fx.conv, "converging"),
-        pairs(fx.top3, "top3"),
-    ]
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    return res
+def _stage_counts(fx: Fixture) -> DataFrame:
+    """Rows and distinct vessels (or pairs) after every stage.  All row filters
+    are counted in one pass over the raw pings, the three pair stages in one
+    pass over the pair join (the cut to the top n follows from the counts)."""
+    reached = flt.stage_reached(fx.raw, fx.cfg)
+    steps = list(flt.STAGES)
+    filters = reached.groupBy("mmsi").agg(*[F.count(F.when(F.col("stage") >= i, 1)).alias(s) for i, s in enumerate(steps)])
+    out = _by_stage(filters, steps)
+    for stage, df in (("dedup", fx.dedup), ("implied_speed", fx.cleaned), ("moving_vessels", fx.clean), ("moving_pings", fx.pp)):
+        out = out.unionByName(_by_stage(df.groupBy("mmsi").agg(F.count(F.lit(1)).alias(stage)), [stage]))
+    fast = F.col("closing_speed_kn") > fx.cfg.min_closing_speed_kn
+    pairs = fx.pairs().groupBy("mmsi_a", "mmsi_b").agg(F.count(F.lit(1)).alias("close_pairs"), F.count(F.when(fast, 1)).alias("converging"))
+    pairs = pairs.withColumn("top3", F.least(F.col("converging"), F.lit(fx.cfg.candidates_per_pair)))
+    return out.unionByName(_by_stage(pairs, ["close_pairs", "converging", "top3"]))
 
 
 def _trajectory_one(fx: Fixture) -> DataFrame:
-    ev = fx.wevent.select(F.col("mmsi_a").alias("mmsi"), F.col("event_unix").alias("center_unix"))
-    return tj.trajectory_around(fx.clean, ev, fx.cfg.trajectory_window_s).select(
-        "mmsi", "ts_unix", "lat", "lon", "sog", "cog"
-    )
+    """The winning event's vessel A.  Its MMSI and time are one row."""
+    ev = fx.wevent.first()
+    t = tj.trajectory_one(fx.clean, ev["mmsi_a"], ev["event_unix"], fx.cfg.trajectory_window_s)
+    return t.select(F.lit(ev["mmsi_a"]).cast("long").alias("mmsi"), "ts_unix", "lat", "lon", "sog", "cog")
+
+
+def _ais_text(fx: Fixture) -> DataFrame:
+    """The fixture as an AIS table arrives: text columns under the CSV's
+    headers, with bad numbers and timestamps among them."""
+    c, bad = CSV_COLUMNS, F.col("event_id") % 89
+    stamp = F.concat_ws(" ", F.date_format(utc_day(F.col("ts_unix")), "dd/MM/yyyy"), F.substring(tj.utc_text(F.col("ts_unix")), 12, 8))
+    text = {
+        "ts": F.when(bad == 1, "2021-12-01").otherwise(stamp), "mmsi": F.when(bad == 2, "n/a").otherwise(F.col("mmsi").cast("string")),
+        "lat": F.when(bad == 3, "55,2").otherwise(F.col("lat").cast("string")), "lon": F.col("lon").cast("string"),
+        "sog": F.when(bad == 4, "").otherwise(F.col("sog").cast("string")), "cog": F.col("cog").cast("string"),
+        "name": F.col("name"), "ship_type": F.col("ship_type"), "mobile_type": F.col("mobile_type"),
+    }
+    return fx.raw.select(*[text[k].alias(header) for k, header in c.items()])
+
+
+def _content_order(fx: Fixture) -> DataFrame:
+    """Default cleaning: no row id, every 13th report received twice."""
+    p = fx.notsar.select(*[c for c in BASE if c != "event_id"], "event_id")
+    twice = p.unionByName(p.where("event_id % 13 = 0")).drop("event_id")
+    return tr.clean_tracks(twice, fx.cfg).select(*[c for c in BASE if c != "event_id"])
 
 
 def _lines(fx: Fixture) -> DataFrame:
@@ -216,11 +244,13 @@ def _neighbor_cells(fx: Fixture) -> DataFrame:
 
 
 def _radius(fx: Fixture) -> DataFrame:
-    d = haversine_nm(F.lit(fx.cfg.center_lat), F.lit(fx.cfg.center_lon), "lat", "lon")
+    d = haversine_nm(fx.cfg.center_lat, fx.cfg.center_lon, "lat", "lon")
     return out(fx.radius.withColumn("dist_center_nm", d), BASE + ["dist_center_nm"])
 
 
 QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
+    "ais_parse": lambda fx: flt.valid_pings(parse_ais(_ais_text(fx))).select(*[c for c in BASE if c != "event_id"]),
+    "clean_tracks_content_order": _content_order,
     "valid_pings": lambda fx: out(fx.valid, BASE),
     "time_window": lambda fx: out(fx.timew, BASE),
     "geo_bbox": lambda fx: out(fx.bbox, BASE),
@@ -271,7 +301,7 @@ QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
     ),
     "best_per_pair": lambda fx: out(sc.best_per_pair(fx.scored), SCORED),
     "top5_pairs": lambda fx: out(fx.top, ["rank"] + SCORED),
-    "winner": lambda fx: out(fx.win, SCORED),
+    "winner": lambda fx: out(sc.winner(fx.scored), SCORED),
     "winner_event": lambda fx: out(
         fx.wevent,
         ["mmsi_a", "mmsi_b", "name_a", "name_b", "event_unix", "event_lat", "event_lon", "distance_nm", "distance_m", "collision_score"],
@@ -286,21 +316,26 @@ QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
 }
 
 
-_FIXTURES: dict[tuple[str, str], Fixture] = {}
+class FixturePool:
+    """The fixtures of one set of queries: one per application and input
+    folder, so that the queries of a set share the stages they have in common."""
+
+    def __init__(self) -> None:
+        self._made: dict[tuple[str, str], Fixture] = {}
 
+    def __call__(self, spark: SparkSession, sf_dir: str) -> Fixture:
+        key = (spark.sparkContext.applicationId, str(sf_dir))
+        if key not in self._made:
+            self._made[key] = Fixture(spark, sf_dir)
+        return self._made[key]
 
-def fixture_for(spark: SparkSession, sf_dir: str) -> Fixture:
-    """One Fixture per (application, input folder): queries over the same
-    input share its materialised stages instead of recomputing them."""
-    key = (spark.sparkContext.applicationId, str(sf_dir))
-    fx = _FIXTURES.get(key)
-    if fx is None:
-        fx = _FIXTURES[key] = Fixture(spark, sf_dir)
-    return fx
 
+def spark_queries(pool: FixturePool | None = None) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Every query as a function of (spark, folder).  Stages are shared within
+    ``pool`` (a new one by default) and nowhere else."""
+    pool = pool or FixturePool()
 
-def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
-        return lambda spark, sf_dir: fn(fixture_for(spark, sf_dir))
+        return lambda spark, sf_dir: fn(pool(spark, sf_dir))
 
     return {k: bind(v) for k, v in QUERIES.items()}

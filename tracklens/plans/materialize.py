@@ -7,9 +7,8 @@ session names a shared checkpoint folder (``spark.checkpoint.dir``), the
 result is written there as a Parquet table and read back: the lineage is cut,
 a lost executor re-reads the files, later reads are columnar with column
 pruning, and tables keyed by vessel and time chunk are bucketed on those keys
-so windows, aggregates and joins on them need no new shuffle.  Without a
-shared folder the result is persisted (memory and disk); lost blocks are then
-recomputed from the lineage.
+so windows, aggregates and joins on them need no new shuffle.  There is one
+mode: without a shared folder materialising fails.
 """
 
 from __future__ import annotations
@@ -48,19 +47,23 @@ def materialize(
     df: DataFrame, bucket_by: Sequence[str] | None = None, small: bool = False, num_buckets: int | None = None
 ) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and return the
-    table (bucketed by ``bucket_by`` into ``spark.sql.shuffle.partitions``
-    buckets), or persist it when no shared folder is configured.  ``small``
-    results (a top-k report, bounded by configuration) are only persisted:
-    recomputing them after a loss is cheap and their lineage is short."""
+    table, bucketed by ``bucket_by`` into ``num_buckets`` (default
+    ``spark.sql.shuffle.partitions``) with one file a bucket.  Fails without a
+    shared folder.  ``small`` results (a top-k report, bounded by
+    configuration) are only persisted: recomputing them after a loss is cheap."""
     spark = df.sparkSession
-    folder = shared_checkpoint_dir(spark)
-    if small or not folder:
+    if small:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
+    folder = shared_checkpoint_dir(spark)
+    if not folder:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     name = f"tracklens_{uuid.uuid4().hex}"
     path = f"{folder.rstrip('/')}/tables/{name}"
     if not bucket_by:
         df.write.parquet(path)
         return spark.read.parquet(path)
     n = int(num_buckets or spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.format("parquet").option("path", path).bucketBy(n, *bucket_by).saveAsTable(name)
+    if n != int(spark.conf.get("spark.sql.shuffle.partitions")):
+        df = df.repartition(n, *bucket_by)  # else rows hashed by these keys already lie bucket by bucket
+    df.write.format("parquet").option("path", path).bucketBy(n, *bucket_by).sortBy(*bucket_by).saveAsTable(name)
     return spark.table(name)

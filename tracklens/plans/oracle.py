@@ -300,6 +300,24 @@ def oracle_queries() -> dict[str, str]:
     )
     q["dedup_pings"] = with_ctes("dedup", f"SELECT {BASE}, prev_unix, round(dist_prev, 6) AS dist_prev FROM dedup")
     q["implied_speed"] = with_ctes("cleaned", f"SELECT {BASE}, round(implied_speed, 6) AS implied_speed FROM cleaned")
+    plain = BASE.replace("event_id, ", "")
+    q["ais_parse"] = with_ctes(
+        "pings",
+        f"SELECT {plain} FROM (SELECT * REPLACE (CASE WHEN event_id % 89 = 4 THEN NULL ELSE sog END AS sog) FROM pings "
+        "WHERE event_id % 89 NOT IN (1, 2, 3)) WHERE ts_unix IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL AND mmsi IS NOT NULL "
+        "AND lat BETWEEN -9e1 AND 9e1 AND lon BETWEEN -1.8e2 AND 1.8e2 AND NOT (lat = 0e0 AND lon = 0e0)",
+    )
+    content = "ts_unix, lat, lon, sog NULLS FIRST, cog NULLS FIRST, name NULLS FIRST, ship_type NULLS FIRST, mobile_type NULLS FIRST"
+    step = hav("prev_lat", "prev_lon", "lat", "lon")
+    q["clean_tracks_content_order"] = with_ctes(
+        "notsar",
+        f"SELECT {plain} FROM (SELECT *, CASE WHEN ts_unix > prev_unix THEN dist_prev / ((ts_unix - prev_unix) / 3.6e3) END AS implied FROM ("
+        f"SELECT *, row_number() OVER (PARTITION BY mmsi, ts_unix ORDER BY dist_prev NULLS LAST, {content}) AS rn FROM ("
+        f"SELECT *, CASE WHEN prev_lat IS NOT NULL THEN {step} END AS dist_prev FROM ("
+        "SELECT *, lag(lat) OVER w AS prev_lat, lag(lon) OVER w AS prev_lon, lag(ts_unix) OVER w AS prev_unix FROM ("
+        f"SELECT {plain} FROM notsar UNION ALL SELECT {plain} FROM notsar WHERE event_id % 13 = 0) "
+        f"WINDOW w AS (PARTITION BY mmsi ORDER BY {content})))) WHERE rn = 1) WHERE implied IS NULL OR implied <= {d(c.max_implied_speed_kn)}",
+    )
     q["clean_tracks"] = with_ctes("cleaned", f"SELECT {BASE} FROM cleaned")
     q["median_speed"] = with_ctes("medians", "SELECT mmsi, median_sog FROM medians")
     q["moving_vessels"] = with_ctes("clean", f"SELECT {BASE} FROM clean")

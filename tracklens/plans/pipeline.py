@@ -43,14 +43,16 @@ def detect_encounters(
     clean: DataFrame | None = None,
     candidates: DataFrame | None = None,
     scored: DataFrame | None = None,
+    day_column: str | None = None,
 ) -> Encounters:
     """All results as DataFrames.  The fan-out points (clean tracks, pairing
     pings, candidates, top-k report) are materialised on the way (see
     :mod:`tracklens.plans.materialize`); everything after them is lazy.
-    ``clean`` / ``candidates`` / ``scored`` may be passed in precomputed."""
+    ``clean`` / ``candidates`` / ``scored`` may be passed in precomputed;
+    ``day_column`` names the UTC day column of a day-partitioned store."""
     cfg = (cfg or EncounterConfig()).validate()
     if clean is None:
-        cleaned = materialize(clean_tracks(select_pings(pings, cfg), cfg, order), TRACK_KEYS, num_buckets=cfg.track_buckets)
+        cleaned = materialize(clean_tracks(select_pings(pings, cfg, day_column), cfg, order), TRACK_KEYS, num_buckets=cfg.track_buckets)
         clean = materialize(moving_vessels(cleaned, cfg), TRACK_KEYS, num_buckets=cfg.track_buckets)
     if candidates is None:
         pp = materialize(pairing_pings(clean, cfg, order))
@@ -82,6 +84,7 @@ def run_job(
     order: Sequence[str] | None = None,
     strategy: str = "border",
     mode: str = "overwrite",
+    day_column: str | None = None,
 ) -> dict[str, int]:
     """Run the whole job and write scored / top / trajectories / lines /
     report as Parquet (report also as JSON) under ``output_dir``.
@@ -91,7 +94,7 @@ def run_job(
     re-reads checkpoint files instead of re-running the scan and self-join."""
     if not shared_checkpoint_dir(spark):
         raise RuntimeError("set spark.checkpoint.dir (a shared folder) before run_job")
-    first = detect_encounters(pings, cfg, order, strategy)
+    first = detect_encounters(pings, cfg, order, strategy, day_column=day_column)
     # The scored output doubles as the lineage cut for everything after it.
     first.scored.write.mode(mode).parquet(f"{output_dir}/scored")
     scored = spark.read.parquet(f"{output_dir}/scored")

@@ -26,7 +26,8 @@ def read_ais_csv(spark: SparkSession, path: str | list[str], validate: bool = Tr
 def parse_ais(raw: DataFrame) -> DataFrame:
     """Project and type the string columns of an AIS table (PING_SCHEMA order)."""
     c = {k: F.col(f"`{v}`") for k, v in CSV_COLUMNS.items()}
-    ts = F.try_to_timestamp(c["ts"], F.lit(CSV_TIMESTAMP_FORMAT))
+    # The text is UTC: an explicit offset keeps the session's time zone out of it.
+    ts = F.try_to_timestamp(F.concat(F.trim(c["ts"]), F.lit(" +00:00")), F.lit(f"{CSV_TIMESTAMP_FORMAT} xxx"))
     return raw.select(
         c["mmsi"].try_cast("long").alias("mmsi"),
         ts.alias("ts"),

@@ -1,9 +1,13 @@
 """Ping fixture derived from the driver's ``events`` table.
 
-Twenty synthetic vessels in ten pairs that approach and part periodically,
-with duplicates, GPS spikes, stationary vessels, Class B, a SAR MMSI, early
-silence and null / (0,0) positions (see FIXTURES.md).  The same SQL text runs
-in Spark and DuckDB; ``event_id`` is the row id used to order duplicates.
+Every row of ``events`` is one ping.  Each 2,000 events are a fleet of twenty
+vessels in ten pairs that approach and part periodically, so vessels, pairs
+and pings grow with the table.  The fleets have duplicates, GPS spikes,
+stationary vessels, Class B, a SAR MMSI, vessels that fall silent (a
+replacement vessel sends the later pings), points in the box but outside the
+circle, pairs that keep over 100 m apart, fast approaches, sudden stops and
+null / (0,0) positions (see FIXTURES.md).  The same SQL text runs in Spark and
+DuckDB; ``event_id`` is the row id used to order duplicates.
 """
 
 from __future__ import annotations
@@ -14,28 +18,34 @@ from pyspark.sql import functions as F
 FIXTURE_PINGS_SQL = """
 WITH b AS (
   SELECT event_id, event_type, value, event_id % 20 AS v,
-         CAST(floor(event_id / 20) AS BIGINT) AS s,
+         CAST(floor(event_id / 2000) AS BIGINT) AS g,
+         CAST(floor((event_id % 2000) / 20) AS BIGINT) AS s,
          CAST(floor((event_id % 20) / 2) AS BIGINT) AS p
   FROM {events}),
-c AS (SELECT *, abs((s * (1 + p % 3)) % 60 - 30) AS tri FROM b
-      WHERE NOT (v = 1 AND s > 33) AND NOT (v IN (10, 11) AND s > 35))
+c AS (SELECT *, g * 100 + s AS n, abs((s * (1 + p % 3)) % 60 - 30) AS tri,
+             (v = 1 AND s > 30) OR (v IN (10, 11) AND s > 35) AS replaced FROM b)
 SELECT event_id,
-  CASE WHEN v = 18 THEN 111000018 ELSE 219000000 + v END AS mmsi,
-  1638316800 + CASE WHEN v = 19 THEN s * 7200
-                    WHEN s % 17 = 16 THEN (s - 1) * 10 + (v % 2) * 3
-                    ELSE s * 10 + (v % 2) * 3 END AS ts_unix,
+  CASE WHEN v = 18 THEN 111000018 + g * 100 ELSE 219000000 + g * 100 + v + CASE WHEN replaced THEN 50 ELSE 0 END END AS mmsi,
+  1638316800 + CASE WHEN v = 19 THEN g * 1000 + s * 7200
+                    WHEN s % 17 = 16 THEN (n - 1) * 10 + (v % 2) * 3
+                    ELSE n * 10 + (v % 2) * 3 END AS ts_unix,
   CASE WHEN event_id % 223 = 7 THEN NULL
        WHEN event_id % 211 = 9 THEN CAST(0 AS DOUBLE)
+       WHEN event_id % 199 = 11 THEN 55.985e0
        ELSE 55.225e0 + (CASE WHEN p = 1 THEN 0 ELSE p END) * 5e-2
-            + (v % 2) * (tri * 2e-4) + ((event_id * 7919) % 9973) * 1e-9
+            + (v % 2) * (tri * CASE WHEN p = 3 THEN 1.85e-3 ELSE 2e-4 END) + ((event_id * 7919) % 9973) * 1e-9
+            + CASE WHEN v = 9 THEN 1e-3 ELSE 0e0 END
             + CASE WHEN s % 23 = 11 AND event_type = 'error' THEN 5e-1 ELSE 0e0 END
             + CASE WHEN v = 13 THEN 2e0 ELSE 0e0 END END AS lat,
-  CASE WHEN event_id % 211 = 9 THEN CAST(0 AS DOUBLE) ELSE 14.245e0 + s * 1e-4 + ((event_id * 6271) % 9967) * 1e-9 END AS lon,
+  CASE WHEN event_id % 211 = 9 THEN CAST(0 AS DOUBLE)
+       WHEN event_id % 199 = 11 THEN 15.645e0
+       ELSE 14.245e0 + s * 1e-4 + ((event_id * 6271) % 9967) * 1e-9 END AS lon,
   CASE WHEN event_id % 97 = 5 THEN NULL
        WHEN v IN (14, 15) THEN 1e-1
+       WHEN v = 4 THEN CASE WHEN s % 20 <= 10 THEN 4e1 ELSE 2e0 END
        ELSE (CAST(floor(value * 100) AS BIGINT) % 2000) / 1e2 END AS sog,
   CASE WHEN event_id % 101 = 3 THEN NULL ELSE CAST((event_id * 37) % 360 AS DOUBLE) END AS cog,
-  CASE WHEN v = 7 THEN NULL ELSE concat('VESSEL ', v) END AS name,
+  CASE WHEN v = 7 THEN NULL ELSE concat('VESSEL ', g, '-', v) END AS name,
   CASE WHEN v % 2 = 0 THEN 'Cargo' ELSE 'Passenger' END AS ship_type,
   CASE WHEN v IN (16, 17) THEN 'Class B' ELSE 'Class A' END AS mobile_type
 FROM c

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracklens.functions.geo import utc_day
 from tracklens.schema import PING_COLUMNS
 
 DAY_COLUMN = "day"
@@ -19,7 +20,7 @@ def write_pings(pings: DataFrame, path: str, mode: str = "errorifexists") -> Non
     """Write pings partitioned by day; rows of one day are clustered by vessel
     and time so Parquet min/max statistics stay selective."""
     (
-        pings.withColumn(DAY_COLUMN, F.to_date(F.col("ts")))
+        pings.withColumn(DAY_COLUMN, utc_day(F.col("ts_unix")))
         .repartition(DAY_COLUMN, "mmsi")
         .sortWithinPartitions("mmsi", "ts_unix")
         .write.mode(mode)
