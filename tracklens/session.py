@@ -2,8 +2,30 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the session's Python workers import this package wherever they run
+    (once a session; Spark itself sends the archive to the executors)."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="tracklens-"), "tracklens.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f"{package.name}/{f.relative_to(package)}")
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tracklens") -> SparkSession:
     spark = (
