@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from tracklens.llm import cutting_stock, debruijn_dedup, hypergeometric_shards, kneser_ney_toxicity, multi_index_hashing, ngram_join, quote_threads, subword_quality, suffix_automaton, url_reputation
+from tracklens.llm import (
+    cutting_stock,
+    debruijn_dedup,
+    hypergeometric_shards,
+    kneser_ney_toxicity,
+    multi_index_hashing,
+    ngram_join,
+    quote_threads,
+    subword_quality,
+    suffix_automaton,
+    url_reputation,
+)
 
 QUERIES = {
     "op1_ngram_join": ngram_join.query,
@@ -19,9 +30,6 @@ QUERIES = {
 ORACLES = {
     "op1_ngram_join": ngram_join.ORACLE,
     "op2_suffix_automaton": suffix_automaton.ORACLE,
-    "op4_cutting_stock": cutting_stock.query,
-    "op5_multi_index_hashing": multi_index_hashing.query,
-    "op6_subword_quality": subword_quality.query,
     "op7_debruijn_dedup": debruijn_dedup.ORACLE,
     "op10_url_reputation": url_reputation.ORACLE,
 }

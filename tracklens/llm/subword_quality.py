@@ -32,7 +32,8 @@ BUCKETS = 1 << 18
 DIM = 8
 NGRAMS = (3, 4, 5)
 TRAIN_ROWS = 3_000
-EPOCHS = 5
+EPOCHS = 5  # or as many as make MIN_STEPS steps, where labels are few
+MIN_STEPS = 800
 BATCH = 16
 RATE = 20.0
 SEED = 17
@@ -99,9 +100,10 @@ def train(texts: list[str], labels: np.ndarray, seed: int = SEED) -> tuple[np.nd
     output, bias = np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32)
     rows = _sample_matrix(texts)
     target = np.eye(2, dtype=np.float32)[labels]
-    steps = EPOCHS * -(-len(rows) // BATCH)
-    step = 0
-    for _ in range(EPOCHS):
+    per_epoch = -(-len(rows) // BATCH)
+    epochs = max(EPOCHS, -(-MIN_STEPS // per_epoch))
+    steps, step = epochs * per_epoch, 0
+    for _ in range(epochs):
         order = rng.permutation(len(rows))
         for start in range(0, len(rows), BATCH):
             pick = order[start : start + BATCH]
