@@ -39,7 +39,7 @@ END = 2
 VOCABULARY = "word_bpe_49k.json"
 GAP = 1e-3  # column generation stops within this share of the LP's optimum
 RANK_ROWS = 50_000
-CACHED_WORDS = 600_000  # per Python worker, before the next slice adds its own
+CACHED_WORDS = 250_000  # per Python worker, before the next slice adds its own
 TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII punctuation but the apostrophe, which may start a suffix
 LETTERS_END = "\u0250"  # Latin letters end here
 

@@ -211,15 +211,17 @@ def merge_spans(spans) -> list[tuple[int, int]]:
 _FOUND = "n_words long, spans array<struct<start:long,end:long>>, items array<string>, longest long"
 
 
-def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, finish=None) -> DataFrame:
     """``docs`` (with text) plus n_words, spans (hit words, disjoint), items
-    (ids as strings) and longest (longest match in words)."""
+    (ids as strings) and longest (longest match in words).  ``finish``, a pair
+    of a function and a schema, makes the rows of the result instead from a
+    record batch, its word counts and its spans, in the same pass."""
     spark = docs.sparkSession
     own = ["n_words", "spans", "items", "longest"]
     docs = docs.select(*[c for c in docs.columns if c not in own])
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
-    def apply(df: DataFrame, auto) -> DataFrame:
+    def apply(df: DataFrame, auto, last: bool) -> DataFrame:
         columns = [c for c in df.columns if c not in own]
         later = len(df.columns) > len(columns)
 
@@ -231,12 +233,15 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
                         spans = [merge_spans([(x["start"], x["end"]) for x in old] + new) for old, new in zip(part.column("spans").to_pylist(), spans, strict=True)]
                         names = [sorted({*old, *new}) for old, new in zip(part.column("items").to_pylist(), names, strict=True)]
                         longest = [max(x) for x in zip(part.column("longest").to_pylist(), longest, strict=True)]
+                    if last and finish:
+                        yield finish[0](part, n, spans)
+                        continue
                     spans = pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], spans_type)
                     made = [pa.array(n, pa.int64()), spans, pa.array(names, pa.list_(pa.string())), pa.array(longest, pa.int64())]
                     yield pa.RecordBatch.from_arrays([*[part.column(c) for c in columns], *made], [*columns, *own])
 
         kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-        return df.mapInArrow(run, f"{kinds}, {_FOUND}")
+        return df.mapInArrow(run, finish[1] if last and finish else f"{kinds}, {_FOUND}")
 
     item_words = F.size(F.split(F.col("text"), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
     items = items.select(F.col("item_id").cast("string").alias("name"), F.col("text").cast("string").alias("text")).where("name IS NOT NULL AND text IS NOT NULL")
@@ -251,7 +256,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
         if blocks > 1 and size > 2 * block_words:
             raise ValueError(f"a block of {size} words: items longer than block_words must be cut with an overlap of {window - 1} words")
         auto = spark.sparkContext.broadcast(Automaton([(r["name"], words(r["text"])) for r in rows.collect()], window))
-        out = apply(out, auto)
+        out = apply(out, auto, b + 1 == blocks)
         if b + 1 < blocks:
             out = settle(out, "contamination")
     return out
@@ -274,20 +279,15 @@ def remove_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW
     than ``max_coverage`` are hit is dropped.  Clean rows stay as they are."""
     columns = docs.columns
     inner = [c if c == "text" else f"c{i}" for i, c in enumerate(columns)]  # no clash with the columns of the search
-    found = find_contamination(docs.toDF(*inner), items, window)
-    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])
-    kept = found.where(hit <= max_coverage * F.col("n_words"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        i = columns.index("text")
-        for batch in batches:
-            spans = batch.column("spans").to_pylist()
-            texts = [cut_words(t, [(x["start"], x["end"]) for x in s]) for t, s in zip(batch.column("text").to_pylist(), spans, strict=True)]
-            cols = [batch.column(c) for c in inner]
-            cols[i] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(cols, columns)
-
-    return kept.select(*inner, "spans").mapInArrow(run, docs.schema)
+
+    def cut(part: pa.RecordBatch, n_words, spans) -> pa.RecordBatch:
+        texts = part.column("text").to_pylist()
+        keep = [sum(b - a for a, b in s) <= max_coverage * n for n, s in zip(n_words, spans, strict=True)]
+        texts = [cut_words(t, list(s)) if k else t for t, s, k in zip(texts, spans, keep, strict=True)]
+        cols = [pa.array(texts, pa.string()) if c == "text" else part.column(c) for c in inner]
+        return pa.RecordBatch.from_arrays(cols, columns).filter(pa.array(keep, pa.bool_()))
+
+    return find_contamination(docs.toDF(*inner), items, window, finish=(cut, docs.schema))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

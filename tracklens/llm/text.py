@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _M1 = np.uint64(0xFF51AFD7ED558CCD)
