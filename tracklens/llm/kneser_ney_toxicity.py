@@ -231,7 +231,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic"):
     n = usable.count()
     aside = min(CALIBRATION_SHARE, CALIBRATION_ROWS / max(n, 1))
     candidates = docs.where("text IS NOT NULL").where(remainder(F.col("doc_id"), HELD_MODULUS) != HELD)
-    texts = candidates.join(usable, "doc_id")
+    # Labels grow with the table: shuffled at every size, never broadcast because a table happens to be small.
+    texts = candidates.join(usable.hint("merge"), "doc_id")
     counts = texts.where(hash_share(F.col("doc_id"), SEED) >= aside).select("text", "label")
     counts = settle(counts.mapInArrow(_class_counts, "gram long, toxic long, plain long").groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")), "class-counts")
     tops = settle(docs.select("text").mapInArrow(_distinct_grams, "gram long").distinct(), "grams")
