@@ -103,3 +103,30 @@ def test_long_conversation_is_numbered_in_blocks(spark):
     got = thread_conversations(rows).select("turn", "position").collect()
     assert sorted(r.position for r in got) == list(range(n))
     assert [r.turn for r in sorted(got, key=lambda r: r.position)] == sorted(r.turn for r in got)
+
+
+def test_sql_agrees_on_nested_quotes(spark, tmp_path):
+    import duckdb
+
+    from tracklens.llm import quote_threads as Q
+    from tracklens.plans.verify import compare
+
+    rnd = random.Random(8)
+    rows = []
+    for conv in range(5):
+        own = []
+        for turn in range(12):
+            text = "\n".join(f"{rnd.choice('abcd')} word{rnd.randrange(20)}" for _ in range(rnd.randint(1, 3)))
+            if own and rnd.random() < 0.7:
+                quote = rnd.choice(own).split("\n")
+                quote = quote[: rnd.randint(1, len(quote))]
+                text = "\n".join(rnd.choice(["> ", ">"]) + x.upper() for x in quote) + rnd.choice(["\n", "\r\n"]) + text
+            own.append(text)
+            rows.append((conv, turn, "user", rnd.choice([text] * 20 + [None, ""])))
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    got = Q.query(spark, str(tmp_path))
+    assert got.where("reply_depth > 1").count() > 0
+    ok, msg = compare(got, con, Q.ORACLE)
+    assert ok, msg

@@ -31,5 +31,6 @@ ORACLES = {
     "op1_ngram_join": ngram_join.ORACLE,
     "op2_suffix_automaton": suffix_automaton.ORACLE,
     "op7_debruijn_dedup": debruijn_dedup.ORACLE,
+    "op9_quote_threads": quote_threads.ORACLE,
     "op10_url_reputation": url_reputation.ORACLE,
 }

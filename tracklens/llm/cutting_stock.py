@@ -13,7 +13,7 @@ before the sequences are formed.
 
 Edge cases: a null or empty text has the end id only; rows with a null doc_id
 and repeated rows are packed like others; an empty table gives no sequences;
-extra columns pass through ``token_pieces`` untouched only where asked for.
+extra columns are not read.
 """
 
 from __future__ import annotations

@@ -141,3 +141,32 @@ def query(spark, sf_dir: str) -> DataFrame:
         "conv_id", "turn", "role", F.sha2(F.col("body"), 256).alias("body_sha256"), F.col("quote_depth").cast("long").alias("quote_depth"),
         "parent_turn", F.col("reply_depth").cast("long").alias("reply_depth"), "position",
     )
+
+
+#: The same for tables whose (conv_id, turn) are distinct (ties are Spark's by content).
+ORACLE = rf"""
+WITH RECURSIVE
+m AS (SELECT conv_id, turn, role, text, row_number() OVER () AS msg, regexp_split_to_array(coalesce(text, ''), '\r?\n') AS ls FROM conversations),
+l AS (SELECT msg, conv_id, turn, raw, line, regexp_extract(raw, '^(?:[ \t]*>)+') AS marks
+      FROM (SELECT msg, conv_id, turn, unnest(ls) AS raw, unnest(range(1, len(ls) + 1)) AS line FROM m)),
+b AS (SELECT *, length(regexp_replace(marks, '[^>]', '', 'g')) AS level, CASE WHEN marks <> '' THEN regexp_replace(raw, '^(?:[ \t]*>)+[ \t]?', '') ELSE raw END AS body FROM l),
+n AS (SELECT *, trim(regexp_replace(translate(body, '{UPPER}', '{LOWER}'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm,
+             CASE WHEN level IS DISTINCT FROM lag(level, 1, -1) OVER (PARTITION BY msg ORDER BY line) THEN 1 ELSE 0 END AS new FROM b),
+r AS (SELECT * FROM (SELECT *, sum(new) OVER (PARTITION BY msg ORDER BY line) AS passage FROM n) WHERE norm <> ''),
+pieces AS (SELECT msg, conv_id, turn, level, 1 AS whole, string_agg(norm, ' ' ORDER BY line) AS t FROM r GROUP BY msg, conv_id, turn, level, passage
+           UNION ALL SELECT msg, conv_id, turn, level, 0, norm FROM r),
+linked AS (SELECT q.msg, q.level, q.whole, length(q.t) AS chars, max(o.turn) AS parent_turn
+           FROM pieces q JOIN pieces o ON q.conv_id = o.conv_id AND o.level = q.level - 1 AND o.t = q.t AND o.turn < q.turn
+           WHERE q.level > 0 GROUP BY q.msg, q.level, q.whole, q.t),
+links AS (SELECT msg, parent_turn FROM (SELECT *, row_number() OVER (PARTITION BY msg ORDER BY level, whole DESC, chars DESC, parent_turn DESC) AS k FROM linked) WHERE k = 1),
+tree AS (SELECT m.msg, m.conv_id, m.turn, links.parent_turn FROM m LEFT JOIN links ON m.msg = links.msg),
+paths(msg, conv_id, turn, path) AS (
+  SELECT msg, conv_id, turn, [coalesce(turn, -4611686018427387904)] FROM tree WHERE parent_turn IS NULL
+  UNION ALL SELECT tree.msg, tree.conv_id, tree.turn, list_append(paths.path, tree.turn) FROM tree JOIN paths ON tree.conv_id = paths.conv_id AND tree.parent_turn = paths.turn),
+placed AS (SELECT msg, path, row_number() OVER (PARTITION BY conv_id, CASE WHEN conv_id IS NULL THEN msg END ORDER BY path) - 1 AS position FROM paths)
+SELECT m.conv_id, m.turn, m.role,
+       sha256(trim(array_to_string(list_filter(ls, lambda x: NOT regexp_matches(x, '^(?:[ \t]*>)+')), chr(10)), ' ')) AS body_sha256,
+       CAST(list_max(list_transform(ls, lambda x: length(regexp_replace(regexp_extract(x, '^(?:[ \t]*>)+'), '[^>]', '', 'g')))) AS BIGINT) AS quote_depth,
+       tree.parent_turn, len(path) - 1 AS reply_depth, position
+FROM m JOIN tree ON m.msg = tree.msg JOIN placed ON m.msg = placed.msg
+"""
