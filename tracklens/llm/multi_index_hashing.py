@@ -100,11 +100,10 @@ class MultiIndex:
     def __init__(self, block: np.ndarray):
         self.words = np.ascontiguousarray(block).view(np.uint64)
         self.size = len(block)
-        self.values, self.bucket, self.order, self.bounds = [], [], [], []
+        self.values, self.order, self.bounds = [], [], []
         for j in range(block.shape[1]):
             values, bucket = np.unique(block[:, j], return_inverse=True)
             self.values.append(values)
-            self.bucket.append(bucket)
             self.order.append(np.argsort(bucket, kind="stable"))
             self.bounds.append(np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=len(values)))]))
 
@@ -116,26 +115,31 @@ class MultiIndex:
             out += np.bitwise_count(words[:, w, None] ^ self.words[None, :, w])
         return out
 
-    def within(self, asked: np.ndarray, radius: int, width: int = 32) -> Iterator[np.ndarray]:
-        """For each asked code the block's codes within ``radius`` bits."""
+    def within(self, asked: np.ndarray, radius: int, width: int = 8) -> Iterator[np.ndarray]:
+        """For each asked code the block's codes within ``radius`` bits.
+
+        Where some substring's neighbourhood holds more values than its index
+        has buckets, probing would visit every bucket; all codes are then
+        candidates and go to the Hamming test at once."""
+        radii = [(j, r) for j, r in enumerate(substring_radii(radius, asked.shape[1])) if r >= 0]
+        whole = any(len(NEIGHBOURS[r]) >= len(self.values[j]) for j, r in radii)
         for start in range(0, len(asked), width):
             some = asked[start : start + width]
-            found = np.zeros((len(some), self.size), bool)
-            for j, r in enumerate(substring_radii(radius, asked.shape[1])):
-                if r < 0:
-                    continue
-                values = self.values[j]
-                if len(NEIGHBOURS[r]) < len(values):  # look up each value of the neighbourhood
-                    for i, code in enumerate(some[:, j]):
-                        probe = code ^ NEIGHBOURS[r]
-                        at = np.minimum(np.searchsorted(values, probe), len(values) - 1)
-                        for b in at[values[at] == probe]:
-                            found[i, self.order[j][self.bounds[j][b] : self.bounds[j][b + 1]]] = True
-                else:  # the neighbourhood is larger than the index: see which of its buckets lie in it
-                    near = np.bitwise_count(some[:, j, None] ^ values[None, :]) <= r
-                    found |= np.take(near, self.bucket[j], axis=1)
-            found &= self.distances(some) <= radius
-            yield from (np.flatnonzero(row) for row in found)
+            close = self.distances(some) <= radius if whole else None
+            for i, code in enumerate(some):
+                yield np.flatnonzero(close[i]) if whole else self._probe(code, radii, radius)
+
+    def _probe(self, code: np.ndarray, radii: list[tuple[int, int]], radius: int) -> np.ndarray:
+        """Look up every value of each substring's neighbourhood."""
+        found = np.zeros(self.size, bool)
+        for j, r in radii:
+            values, probe = self.values[j], code[j] ^ NEIGHBOURS[r]
+            at = np.minimum(np.searchsorted(values, probe), len(values) - 1)
+            for b in at[values[at] == probe]:
+                found[self.order[j][self.bounds[j][b] : self.bounds[j][b + 1]]] = True
+        at = np.flatnonzero(found)
+        words = np.ascontiguousarray(code).view(np.uint64)
+        return at[np.bitwise_count(self.words[at] ^ words).sum(1, dtype=np.int64) <= radius]
 
 
 #: 16-bit masks with at most r bits set
