@@ -153,3 +153,19 @@ def test_kneser_ney_against_plain_python(spark):
     model = (T._table(seen, "gram"), T._table(rest, "context"))
     for w in ["idiot", "anton", "idol", "tonic", "zebra", "antic", "tundra"]:
         assert T.features(pa.array([w]), model)[0][0] == pytest.approx(brute_ratio(counts, types, w), abs=1e-4), w
+
+
+def test_no_ngram_is_lost_where_the_model_needs_several_blocks(spark, monkeypatch):
+    data = rows_of(120, 6)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in data] + [(1000, None), (1001, "")], "doc_id long, text string").withColumn("_evidence", F.lit("mine"))
+    labels = spark.createDataFrame([(i, 1 - y) for i, _, y in data], "doc_id long, toxic int")
+
+    def scores():
+        out = T.score_texts(docs, T.learn(docs, labels))
+        assert out.columns == ["doc_id", "text", "_evidence", "score"] and out.where("_evidence = 'mine'").count() == len(data) + 2
+        return [r.score for r in out.orderBy("doc_id").collect()]
+
+    whole = scores()
+    monkeypatch.setattr(T, "MODEL_ROWS", 1500)
+    assert scores() == pytest.approx(whole, abs=1e-6)
+    assert max(whole) > 0.9 > 0.1 > min(whole)

@@ -17,8 +17,10 @@ context's distinct continuations n:
 
 For an n-gram seen in neither class the ratio of the two is the ratio of the
 back-off weights, a property of the context alone.  So the whole comparison is
-two tables, of seen n-grams and of contexts; both are computed by joins and
-kept to the ``MODEL_ROWS`` most frequent, which bounds what is broadcast.
+two tables, of seen n-grams and of contexts, both computed by joins.  They are
+dealt to blocks of about ``MODEL_ROWS`` rows, a context together with all its
+n-grams; a block is what is broadcast.  Several blocks are applied one after
+another, each adding its n-grams' evidence to the words of the texts.
 
 N-grams are packed into one long, 12 bits a character (characters beyond the
 first 4,000 code points share places).
@@ -30,7 +32,8 @@ repeated rows score alike; extra columns pass through.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +48,7 @@ from tracklens.llm.text import code_points, encode, flat_alnum_words, owners, sl
 ORDER = 5
 BITS = 12
 DISCOUNT = 0.75
-MODEL_ROWS = 4_000_000  # 12 bytes each
+MODEL_ROWS = 4_000_000  # of a block, 12 bytes each
 CALIBRATION_ROWS = 4_000
 CALIBRATION_SHARE = 0.2  # at most so much of the labelled rows
 WINDOWS = (1, 5, 20)
@@ -162,15 +165,14 @@ def evidence_tables(counts: DataFrame, shared: DataFrame) -> tuple[DataFrame, Da
         seen = F.when(F.col(f"{x}_t") > 0, F.greatest(F.col(x) - DISCOUNT, F.lit(0.0)) / F.col(f"{x}_t")).otherwise(0.0)
         return seen + weight(x) * F.col("lower")
 
-    both = F.col("toxic") + F.col("plain")
-    seen = p.select("gram", F.log(prob("toxic") / prob("plain")).alias("ratio"), both.alias("n"))
-    rest = contexts.select("context", F.log(weight("toxic") / weight("plain")).alias("ratio"), (F.col("toxic_t") + F.col("plain_t")).alias("n"))
+    seen = p.select("gram", F.log(prob("toxic") / prob("plain")).alias("ratio"))
+    rest = contexts.select("context", F.log(weight("toxic") / weight("plain")).alias("ratio"))
     return seen, rest
 
 
 def _table(df: DataFrame, key: str) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys and ratios of the ``MODEL_ROWS`` most frequent rows."""
-    got = df.orderBy(F.col("n").desc(), key).limit(MODEL_ROWS).select(key, "ratio").toArrow() if df.count() > MODEL_ROWS else df.select(key, "ratio").toArrow()
+    """Sorted keys and ratios."""
+    got = df.select(key, "ratio").toArrow()
     k, r = got.column(key).to_numpy(), got.column("ratio").to_numpy().astype(np.float32)
     order = np.argsort(k)
     return k[order], r[order]
@@ -185,16 +187,24 @@ def _look_up(keys: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> tuple[np
     return np.where(hit, ratio[at], 0.0), hit
 
 
-def features(texts: pa.Array, model) -> np.ndarray:
-    """Per text: evidence per word, of the strongest window of each of
-    ``WINDOWS`` words (per word), the logs of its strong evidence and of the
-    number of words."""
+def _word_evidence(texts: pa.Array, model) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Evidence of every word of the texts by one block of the model, the
+    offsets by text, the words' codes and how many are distinct."""
     words, off = flat_alnum_words(texts)
     code, distinct = encode(words)
     gram, goff = grams(distinct)
     seen, hit = _look_up(gram, model[0])
     per_word = sums(np.where(hit, seen, _look_up(gram >> BITS, model[1])[0]), goff)
-    value = per_word[code] if len(code) else np.zeros(0)
+    return per_word[code] if len(code) else np.zeros(0), off, code, len(distinct)
+
+
+def features(texts: pa.Array, model, before: np.ndarray | None = None) -> np.ndarray:
+    """Per text: evidence per word, of the strongest window of each of
+    ``WINDOWS`` words (per word), the logs of its strong evidence and of the
+    number of words.  ``before`` is the words' evidence by earlier blocks."""
+    value, off, code, distinct = _word_evidence(texts, model)
+    if before is not None:
+        value = value + before
     n = np.diff(off)
     out = [sums(value, off) / np.maximum(n, 1)]
     total = np.concatenate([[0.0], np.cumsum(value)])
@@ -208,7 +218,7 @@ def features(texts: pa.Array, model) -> np.ndarray:
         if len(filled):
             best[filled] = np.maximum.reduceat(mean, off[:-1][filled])
         out.append(best)
-    strong = np.where(_first_uses(code, off, len(distinct)), np.maximum(value - STRONG, 0), 0)
+    strong = np.where(_first_uses(code, off, distinct), np.maximum(value - STRONG, 0), 0)
     return np.stack([*out, np.log1p(sums(strong, off)), np.log1p(n)], 1)
 
 
@@ -224,8 +234,46 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int =
     return mean, scale, beta
 
 
+def _block(key: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(blocks))
+
+
+def _apply(rows: DataFrame, tables: tuple[DataFrame, DataFrame, int], finish: Callable, schema: str) -> DataFrame:
+    """``finish`` of every slice of ``rows`` (with text) and its features,
+    after all blocks of the model have been applied."""
+    seen, rest, blocks = tables
+    columns = rows.columns
+    carry = "_evidence"
+    while carry in columns:
+        carry += "_"
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    out = rows
+    for b in range(blocks):
+        of_block = (_table(seen.where(_block(F.shiftright("gram", BITS), blocks) == b), "gram"), _table(rest.where(_block(F.col("context"), blocks) == b), "context"))
+        model = rows.sparkSession.sparkContext.broadcast(of_block)
+
+        def run(batches: Iterator[pa.RecordBatch], model=model, first=b == 0, last=b + 1 == blocks) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in slices(batch):
+                    before = None if first else part.column(carry).flatten().to_numpy()
+                    if last:
+                        yield finish(part, features(part.column("text"), model.value, before))
+                        continue
+                    value, off, _, _ = _word_evidence(part.column("text"), model.value)
+                    value = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(value if first else value + before))
+                    yield pa.RecordBatch.from_arrays([*[part.column(c) for c in columns], value], [*columns, carry])
+
+        if b + 1 == blocks:
+            return out.mapInArrow(run, schema)
+        done = settle(out.mapInArrow(run, f"{kinds}, `{carry}` array<double>"), "evidence")
+        model.destroy()
+        if b:
+            discard(out)
+        out = done
+
+
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic"):
-    """The broadcastable model: n-gram table, context table, calibration."""
+    """The model: (n-gram table, context table, number of blocks), calibration."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     usable = learnable(labels, label, HELD_MODULUS, HELD)
     n = usable.count()
@@ -237,17 +285,15 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic"):
     counts = settle(counts.mapInArrow(_class_counts, "gram long, toxic long, plain long").groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")), "class-counts")
     tops = settle(docs.select("text").mapInArrow(_distinct_grams, "gram long").distinct(), "grams")
     seen, rest = evidence_tables(counts, shared_model(tops))
-    tables = (_table(seen, "gram"), _table(rest, "context"))
-    model = docs.sparkSession.sparkContext.broadcast(tables)
+    seen, rest = settle(seen, "ratios"), settle(rest, "ratios")
+    tables = (seen, rest, max(1, math.ceil((seen.count() + rest.count()) / MODEL_ROWS)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                x = features(part.column("text"), model.value)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array(x.tolist(), pa.list_(pa.float64()))], ["doc_id", "label", "x"])
+    def sample(part: pa.RecordBatch, x: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array(x.tolist(), pa.list_(pa.float64()))], ["doc_id", "label", "x"])
 
     kept = usable.where(hash_share(F.col("doc_id"), SEED) < aside)  # about CALIBRATION_ROWS rows by construction
-    got = candidates.join(F.broadcast(kept), "doc_id").select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, x array<double>").toArrow().sort_by("doc_id")
+    chosen = candidates.join(F.broadcast(kept), "doc_id").select("doc_id", "label", "text")
+    got = _apply(chosen, tables, sample, "doc_id long, label int, x array<double>").toArrow().sort_by("doc_id")
     y = got.column("label").to_numpy().astype(np.float64)
     if len(y) == 0 or y.min() == y.max():
         share = min(max(float(y.mean()) if len(y) else 0.5, 0.001), 0.999)
@@ -259,18 +305,14 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic"):
 def score_texts(docs: DataFrame, model, out: str = "score") -> DataFrame:
     """``docs`` (with text) plus the probability of the toxic class."""
     columns = [c for c in docs.columns if c != out]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    tables, (mean, scale, beta) = model
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, (mean, scale, beta) = shared.value
-        for batch in batches:
-            for part in slices(batch):
-                odds = beta[0] + (features(part.column("text"), tables) - mean) / scale @ beta[1:]
-                score = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in columns], pa.array(score)], [*columns, out])
+    def score(part: pa.RecordBatch, x: np.ndarray) -> pa.RecordBatch:
+        odds = beta[0] + (x - mean) / scale @ beta[1:]
+        return pa.RecordBatch.from_arrays([*[part.column(c) for c in columns], pa.array(1 / (1 + np.exp(-np.clip(odds, -500, 500))))], [*columns, out])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != out)
-    return docs.select(*columns).mapInArrow(run, f"{kinds}, `{out}` double")
+    return _apply(docs.select(*columns), tables, score, f"{kinds}, `{out}` double")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
