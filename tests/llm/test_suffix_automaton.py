@@ -100,3 +100,27 @@ def test_empty_tables_and_query(spark):
         n, hit, names = brute(docs[r.doc_id], items)
         digest = hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
         assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == (n, len(hit), len(names), digest, bool(hit))
+
+
+def test_repeated_items_and_long_items(spark):
+    """Rows of one item repeated for a third of the table, and items of many blocks."""
+    rnd = random.Random(5)
+    book = [f"b{rnd.randrange(40)}" for _ in range(700)]
+    items = [("hot", "one line that very many rows repeat word for word here")] * 50 + [(str(i), " ".join(rnd.choices([f"v{j}" for j in range(9)], k=rnd.choice([3, 12, 20])))) for i in range(100)]
+    items += [("book", ", ".join(book)), ("book", ", ".join(book)), ("just", " ".join(f"j{i}" for i in range(31)))]
+    docs = [" ".join(book[a : a + n]) for a, n in [(0, 700), (15, 10), (25, 12), (691, 9), (690, 10)]]
+    docs += [" ".join(book[a : a + 10]) for a in range(0, 691, 7)] + [items[0][1], items[60][1].upper(), " ".join(f"j{i}" for i in range(20, 31)), None]
+    got = run(spark, docs, items, block_words=60)
+    for i, text in enumerate(docs):
+        n, hit, names = brute(text, sorted(set(items)))
+        assert (got[i].n_words, sorted(got[i]["items"])) == (n, sorted(names)), text
+        assert {p for s in got[i].spans for p in range(s.start, s.end)} == hit
+
+
+def test_blocks_hold_every_window_once_dealt(spark):
+    words = [f"w{i}" for i in range(500)]
+    items = spark.createDataFrame([(1, " ".join(words))] * 3 + [(2, "a b")], "item_id int, text string")
+    blocks = list(S.item_blocks(items, 10, 60))
+    assert all(sum(len(t.split()) for _, t in b) <= 60 for b in blocks)
+    assert {w for b in blocks for n, t in b if n == "1" for w in windows(t.split())} == windows(words)
+    assert sum((n, t) == ("2", "a b") for b in blocks for n, t in b) == 1

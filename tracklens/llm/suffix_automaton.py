@@ -8,14 +8,16 @@ words (or in a whole item of fewer words), and which items the windows belong
 to.  Words outside the items' vocabulary reset the automaton, so runs of
 vocabulary words too short to hold any window are skipped at once.
 
-Items are cut into blocks of at most ``BLOCK_WORDS`` words; a block's
+Items are dealt to blocks of at most ``BLOCK_WORDS`` words; a block's
 automaton is what is broadcast (a state or two a word, so its size is proven
-by that bound).  Several blocks are applied one after another, each adding its
-spans and items to the rows.
+by that bound).  An item of over half a block is cut into pieces that overlap
+by a window less one word, so every window lies in one piece.  Several blocks
+are applied one after another, each adding its spans and items to the rows.
 
 Edge cases: null and wordless texts have no words and no hits; items that are
 null, wordless or have a null id are ignored; rows of one item_id are parts of
-one item; repeated documents are judged alike; extra columns pass through.
+one item; a repeated row of an item adds nothing; repeated documents are judged
+alike; extra columns pass through.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracklens.llm.stages import settle
+from tracklens.llm.stages import discard, settle
 from tracklens.llm.text import encode, flat_alnum_words, slices
 
 WINDOW = 10
@@ -208,13 +210,49 @@ def merge_spans(spans) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+_BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def item_pieces(items: DataFrame, window: int, block_words: int) -> DataFrame:
+    """name, text, size (in words) of the distinct items, long ones in pieces
+    that overlap by ``window`` - 1 words."""
+    piece = max(block_words // 2, 2 * window)
+    step = piece - (window - 1)
+    items = items.select(F.col("item_id").cast("string").alias("name"), F.col("text").cast("string").alias("text"))
+    items = items.where("name IS NOT NULL AND text IS NOT NULL").distinct()
+    items = items.withColumn("ws", F.filter(F.split("text", _BREAK), lambda w: w != "")).withColumn("size", F.size("ws"))
+    short = items.where(F.col("size") <= piece).select("name", "text", "size")
+    starts = F.sequence(F.lit(1), F.col("size") - (window - 1), F.lit(step))  # each piece has a window at least
+    long = items.where(F.col("size") > piece).select("name", F.explode(F.transform(starts, lambda a: F.slice("ws", a, piece))).alias("ws"))
+    return short.unionByName(long.select("name", F.array_join("ws", " ").alias("text"), F.size("ws").alias("size")))
+
+
+def item_blocks(items: DataFrame, window: int, block_words: int) -> Iterator[list[tuple[str, str]]]:
+    """(name, text) of all items in lists of at most ``block_words`` words."""
+    pieces = settle(item_pieces(items, window, block_words), "items")
+    total = pieces.agg(F.sum("size")).first()[0] or 0
+    blocks = max(1, math.ceil(total / (block_words / 2)))  # dealt by hash: half full on average
+    block = F.pmod(F.xxhash64("name", "text"), F.lit(blocks))
+    for b in range(blocks):
+        rows, size = [], 0
+        for r in pieces.where(block == b).select("name", "text", "size").collect():
+            if rows and size + r["size"] > block_words:  # more than the hash deals on average
+                yield rows
+                rows, size = [], 0
+            rows.append((r["name"], r["text"]))
+            size += r["size"]
+        if rows:
+            yield rows
+    discard(pieces)
+
+
 _FOUND = "n_words long, spans array<struct<start:long,end:long>>, items array<string>, longest long"
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, finish=None) -> DataFrame:
     """``docs`` (with text) plus n_words, spans (hit words, disjoint), items
-    (ids as strings) and longest (longest match in words).  ``finish``, a pair
-    of a function and a schema, makes the rows of the result instead from a
+    (ids as strings) and longest (longest match in words, inside one piece of
+    an item that had to be cut).  ``finish``, a pair of a function and a schema, makes the rows of the result instead from a
     record batch, its word counts and its spans, in the same pass."""
     spark = docs.sparkSession
     own = ["n_words", "spans", "items", "longest"]
@@ -243,22 +281,15 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
         kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
         return df.mapInArrow(run, finish[1] if last and finish else f"{kinds}, {_FOUND}")
 
-    item_words = F.size(F.split(F.col("text"), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
-    items = items.select(F.col("item_id").cast("string").alias("name"), F.col("text").cast("string").alias("text")).where("name IS NOT NULL AND text IS NOT NULL")
-    items = items.withColumn("size", item_words)
-    total = items.agg(F.sum("size")).first()[0] or 0
-    blocks = max(1, math.ceil(total / (block_words / 2)))  # dealt by hash: half full on average
-    block = F.pmod(F.xxhash64("name", "text"), F.lit(blocks))
-    out = docs
-    for b in range(blocks):
-        rows = items.where(block == b).select("name", "text", "size")
-        size = rows.agg(F.sum("size")).first()[0] or 0
-        if blocks > 1 and size > 2 * block_words:
-            raise ValueError(f"a block of {size} words: items longer than block_words must be cut with an overlap of {window - 1} words")
-        auto = spark.sparkContext.broadcast(Automaton([(r["name"], words(r["text"])) for r in rows.collect()], window))
-        out = apply(out, auto, b + 1 == blocks)
-        if b + 1 < blocks:
+    out, ahead = docs, item_blocks(items, window, block_words)
+    rows = next(ahead, [])
+    while rows is not None:
+        later = next(ahead, None)
+        auto = spark.sparkContext.broadcast(Automaton([(name, words(text)) for name, text in rows], window))
+        out = apply(out, auto, later is None)
+        if later is not None:
             out = settle(out, "contamination")
+        rows = later
     return out
 
 
