@@ -10,7 +10,8 @@ so ``ORACLE_SQL`` is None; the stages are tested against brute force.
 Edge cases: null doc_ids pass the quality stage like others, are nobody's
 duplicate and lose no repeated span; null and empty texts are scored like any
 text (an empty one is usually rejected); a repeated row of the document that
-stays is dropped with the other duplicates; an empty table stays empty.
+stays is dropped with the other duplicates; rows that share a doc_id are judged
+by their own texts; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -41,11 +42,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest doc_id, of each group of near copies."""
-    groups = ngram_join.similar_components(docs.select("doc_id", "text"))
-    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    """One row, of the smallest doc_id (then the smallest row hash), of each
+    group of near copies.  Rows are told apart by a hash of all their columns,
+    not by doc_id: rows that share an id but not the text are rows of their own."""
+    rows = docs.where("doc_id IS NOT NULL")
+    named = rows.withColumn("_row", F.xxhash64(*rows.columns, *[F.col(c).isNull() for c in rows.columns]))
+    groups = ngram_join.similar_components(named.select(F.col("_row").alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")).distinct()
+    ids = named.select("_row", "doc_id").distinct().join(groups, "_row")
+    stay = ids.groupBy("_group").agg(F.min(F.struct("doc_id", "_row")).alias("s")).select("s.doc_id", "s._row")
+    kept = named.join(stay, ["doc_id", "_row"], "left_semi").dropDuplicates(["doc_id", "_row"])
+    return kept.drop("_row").unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -58,6 +58,20 @@ def test_near_duplicates_leave_the_smallest_of_each_group(stages):
     assert sorted(t for d, t in got if d is None) == sorted(t for d, t in before if d is None)
 
 
+def test_rows_that_share_an_id_are_judged_by_their_own_texts(spark):
+    text = lambda a, n=40: " ".join(f"w{a}x{i}" for i in range(n))
+    near = text(1).split()
+    near[-1] = "other"
+    rows_in = [(3, text(1), "en", "s", 1), (7, " ".join(near), "en", "s", 2), (7, text(2), "en", "s", 3)]
+    rows_in += [(9, text(100 + i), "en", "s", i) for i in range(30)] + [(9, text(100), "en", "s", 0)] * 5  # one id, different texts
+    rows_in += [(4, text(2), "en", "s", 4), (5, None, "x", "s", 0), (5, "x", None, "s", 0), (None, text(1), None, None, 6)]
+    docs = spark.createDataFrame(rows_in, "doc_id long, text string, lang string, source string, n_chars int").repartition(5)
+    want = [(3, text(1)), (4, text(2)), *[(9, text(100 + i)) for i in range(30)], (5, None), (5, "x"), (None, text(1))]
+    got = C.near_duplicates(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert sorted(rows(got), key=str) == sorted(want, key=str)
+
+
 def test_repeated_spans_go(stages):
     before, after = rows(stages[2]), {d: t for d, t in rows(stages[3])}
     want = {d: (n, gone) for d, n, gone, _ in brute_repeats(before)}
