@@ -169,3 +169,28 @@ def test_no_ngram_is_lost_where_the_model_needs_several_blocks(spark, monkeypatc
     monkeypatch.setattr(T, "MODEL_ROWS", 1500)
     assert scores() == pytest.approx(whole, abs=1e-6)
     assert max(whole) > 0.9 > 0.1 > min(whole)
+
+
+@pytest.mark.parametrize("op", ["quality", "toxic"])
+def test_samples_are_bounded_where_an_id_repeats(spark, monkeypatch, op):
+    from tracklens.llm.labelled import hash_share
+
+    data = rows_of(150, 8)
+    if op == "quality":
+        hot = next(i for i, _, _ in data if not held_out(i, 4, 2))
+    else:
+        aside = {r.id for r in spark.range(150).where(hash_share(F.col("id"), T.SEED) < T.CALIBRATION_SHARE).collect()}
+        hot = next(i for i, _, _ in data if i in aside and not held_out(i, 3, 1))
+    rows = [(i, t) for i, t, _ in data] + [(hot, "the same text")] * 3000 + [(hot, f"text number {j}") for j in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in data], f"doc_id long, {op} int")
+    seen = []
+    if op == "quality":
+        monkeypatch.setattr(Q, "train", lambda texts, y: seen.extend(texts) or (np.zeros(Q.BUCKETS, np.float32), 0.0))
+        Q.learn(docs, labels, op, rows=200)
+        assert seen.count("the same text") <= 1
+    else:
+        monkeypatch.setattr(T, "CALIBRATION_ROWS", 200)
+        monkeypatch.setattr(T, "fit_logistic", lambda x, y: seen.extend(y) or (0, 1, 0))
+        T.learn(docs, labels)
+    assert 150 < len(seen) < 450

@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklens.llm.labelled import hash_share, learnable, remainder
+from tracklens.llm.labelled import bounded_sample, hash_share, learnable, remainder
 from tracklens.llm.stages import discard, settle
 from tracklens.llm.text import code_points, encode, flat_alnum_words, owners, slices, sums
 
@@ -291,8 +291,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic"):
     def sample(part: pa.RecordBatch, x: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array(x.tolist(), pa.list_(pa.float64()))], ["doc_id", "label", "x"])
 
-    kept = usable.where(hash_share(F.col("doc_id"), SEED) < aside)  # about CALIBRATION_ROWS rows by construction
-    chosen = candidates.join(F.broadcast(kept), "doc_id").select("doc_id", "label", "text")
+    kept = usable.where(hash_share(F.col("doc_id"), SEED) < aside)
+    chosen = bounded_sample(candidates.join(F.broadcast(kept), "doc_id"), CALIBRATION_ROWS, SEED)
     got = _apply(chosen, tables, sample, "doc_id long, label int, x array<double>").toArrow().sort_by("doc_id")
     y = got.column("label").to_numpy().astype(np.float64)
     if len(y) == 0 or y.min() == y.max():

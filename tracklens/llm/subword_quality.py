@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracklens.llm.labelled import hash_share, learnable, remainder
+from tracklens.llm.labelled import bounded_sample, hash_share, learnable, remainder
 from tracklens.llm.text import code_points, encode, flat_words, hash_words, mix, owners, slices, sums, window_hashes
 
 BUCKETS = 1 << 18
@@ -125,12 +125,14 @@ def train(texts: list[str], labels: np.ndarray, seed: int = SEED) -> tuple[np.nd
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
-    """Train on at most about ``rows`` learnable rows, chosen by hash."""
+    """Train on at most about ``rows`` learnable rows, chosen by hash; a row that
+    repeats counts once."""
     usable = learnable(labels, label, HELD_MODULUS, HELD)
     n = usable.count()
     sample = usable.where(hash_share(F.col("doc_id"), SEED) < min(1.0, rows / max(n, 1)))
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
-    got = text.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label").toArrow().sort_by("doc_id")  # about `rows` rows by construction
+    chosen = bounded_sample(text.join(F.broadcast(sample), "doc_id"), rows, SEED)
+    got = chosen.toArrow().sort_by([(c, "ascending") for c in ("doc_id", "label", "text")])
     y = got.column("label").to_numpy().astype(np.int64)
     if len(y) == 0 or y.min() == y.max():
         share = min(max(float(y.mean()) if len(y) else 0.5, 0.001), 0.999)
