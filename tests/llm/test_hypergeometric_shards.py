@@ -59,3 +59,24 @@ def test_query(spark):
         assert (r["size"], r.text_crc32, r.law, r.grown_shard) == (len(raw) + 16, zlib.crc32(raw), "rows", None)
     sizes = [sum(r.shard == s for r in rows) for s in range(40)]
     assert max(sizes) - min(sizes) <= 1
+
+
+def test_rows_are_drawn_without_replacement_at_every_size(monkeypatch):
+    class Rng:
+        """A generator that cannot draw with replacement."""
+
+        def __init__(self, seed):
+            self.rng = np.random.default_rng(seed)
+            self.integers, self.multivariate_hypergeometric = self.rng.integers, self.rng.multivariate_hypergeometric
+
+    monkeypatch.setattr(H, "DRAWN", 700)
+    left = np.array([10**9, 0, 5, 2 * 10**9, 10**9])
+    for n in (0, 1, 2000, int(left.sum()) - 3, int(left.sum())):
+        row = H._draw(Rng(n), left, n)
+        assert row.sum() == n and (row >= 0).all() and (row <= left).all()
+    mean = np.mean([H._draw(Rng(s), left, 1500) for s in range(200)], 0)
+    assert np.abs(mean - 1500 * left / left.sum()).max() < 6
+    # the variance of a hypergeometric draw, 2/3 below that of one with replacement
+    got = np.array([H._draw_rows(np.random.default_rng(s), np.array([6, 0, 4]), 7) for s in range(4000)])
+    assert (got.sum(1) == 7).all() and (got <= [6, 0, 4]).all()
+    assert got[:, 0].mean() == pytest.approx(4.2, abs=0.06) and got[:, 0].var() == pytest.approx(7 * 0.24 * 3 / 9, abs=0.06)

@@ -31,6 +31,7 @@ SHARDS = 40
 SEED = 20_240_607
 ROWS_PER_BLOCK = 50_000
 MAX_CELLS = 4_000_000  # of the matrix: 32 MB
+DRAWN = 1_000_000  # rows drawn at once where numpy has no exact law
 
 
 def communication_matrix(counts: np.ndarray, sizes: np.ndarray, seed: int) -> np.ndarray:
@@ -46,15 +47,30 @@ def communication_matrix(counts: np.ndarray, sizes: np.ndarray, seed: int) -> np
 
 
 def _draw(rng: np.random.Generator, left: np.ndarray, n: int) -> np.ndarray:
-    """One block's row.  numpy draws the exact law below 10^9 rows; above, a
-    block is so small a part of the table that drawing with replacement
-    (redrawn if a shard would overflow) differs by less than n / left."""
-    if left.sum() < 1_000_000_000:
+    """One block's row, multivariate hypergeometric.  numpy draws it below 10^9
+    rows; above, the rows themselves are drawn, ``DRAWN`` at a time."""
+    total = int(left.sum())
+    if total < 1_000_000_000:
         return rng.multivariate_hypergeometric(left, n, method="marginals")
-    while True:
-        row = rng.multinomial(n, left / left.sum())
-        if (row <= left).all():
-            return row
+    if n > total // 2:  # what stays is as uniform as what goes
+        return left - _draw(rng, left, total - n)
+    rest = left.copy()
+    while n and rest.sum() >= 1_000_000_000:
+        some = min(n, DRAWN)
+        rest -= _draw_rows(rng, rest, some)
+        n -= some
+    return left - rest + (_draw(rng, rest, n) if n else 0)
+
+
+def _draw_rows(rng: np.random.Generator, left: np.ndarray, n: int) -> np.ndarray:
+    """The shards of ``n`` distinct rows out of those left: numbers are drawn
+    and repeats drawn again."""
+    rows = np.zeros(0, np.int64)
+    while len(rows) < n:
+        rows = np.sort(np.concatenate([rows, rng.integers(0, int(left.sum()), n - len(rows))]))
+        rows = rows[np.diff(rows, prepend=-1) > 0]
+    ends = np.searchsorted(rows, np.cumsum(left))
+    return np.diff(ends, prepend=0)
 
 
 def equal_sizes(rows: int, shards: int) -> np.ndarray:
