@@ -12,6 +12,7 @@ from tracklens.llm import (
     quote_threads,
     subword_quality,
     suffix_automaton,
+    suffix_groups,
     url_reputation,
 )
 
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_kneser_ney_toxicity": kneser_ney_toxicity.query,
     "op9_quote_threads": quote_threads.query,
     "op10_url_reputation": url_reputation.query,
+    "op13_suffix_groups": suffix_groups.query,
 }
 ORACLES = {
     "op1_ngram_join": ngram_join.ORACLE,
