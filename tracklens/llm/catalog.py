@@ -7,6 +7,7 @@ from tracklens.llm import (
     debruijn_dedup,
     hypergeometric_shards,
     kneser_ney_toxicity,
+    merkle_manifest,
     multi_index_hashing,
     ngram_join,
     quote_threads,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_kneser_ney_toxicity": kneser_ney_toxicity.query,
     "op9_quote_threads": quote_threads.query,
     "op10_url_reputation": url_reputation.query,
+    "op12_merkle_manifest": merkle_manifest.query,
     "op13_suffix_groups": suffix_groups.query,
 }
 ORACLES = {
@@ -35,4 +37,5 @@ ORACLES = {
     "op7_debruijn_dedup": debruijn_dedup.ORACLE,
     "op9_quote_threads": quote_threads.ORACLE,
     "op10_url_reputation": url_reputation.ORACLE,
+    "op12_merkle_manifest": merkle_manifest.ORACLE,
 }
