@@ -10,6 +10,7 @@ from tracklens.llm import (
     merkle_manifest,
     multi_index_hashing,
     ngram_join,
+    periodic_runs,
     quote_threads,
     subword_quality,
     suffix_automaton,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_kneser_ney_toxicity": kneser_ney_toxicity.query,
     "op9_quote_threads": quote_threads.query,
     "op10_url_reputation": url_reputation.query,
+    "op11_periodic_runs": periodic_runs.query,
     "op12_merkle_manifest": merkle_manifest.query,
     "op13_suffix_groups": suffix_groups.query,
 }
