@@ -59,18 +59,26 @@ def dense_rank_from_zero(
     return ranked.join(offsets, [*group, "_block"]).withColumn(out, F.col("_off") + F.col("_rank")).drop("_block", "_off", "_rank")
 
 
+def _only_stars(e: DataFrame) -> bool:
+    """Every node has one edge up to a smaller one, or only edges down to
+    larger ones: then each component is a star around its minimum."""
+    end = lambda x, up: F.struct(F.col(x).alias("x"), F.lit(up).alias("up"), F.lit(1 - up).alias("down"))
+    ends = e.select(F.inline(F.array(end("u", 1), end("v", 0))))
+    nodes = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where("up > 1 OR up + down > 1").isEmpty()
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """Connected components of ``edges`` (a, b: long): columns node, comp (the
     component's smallest node), one row per node with an edge.
 
     Alternates the large-star and small-star steps of Kiveris et al. (2014)
-    until every edge points at its component's minimum.  Each step is a
+    until every component is a star around its minimum.  Each step is a
     group-minimum (combined before the shuffle) and a join that AQE may split,
     so a star of any size never has to meet in one task.
     """
     e = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
-    last = None
-    while True:
+    while not _only_stars(e):
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -79,8 +87,4 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         before, e = e, settle(small.where("u <> v").distinct(), name)
         discard(before)
-        now = e.agg(F.count(F.lit(1)), F.sum("v"), F.sum(F.xxhash64("u", "v").bitwiseAND(0xFFFFFFFF))).first()
-        if now == last:
-            break
-        last = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(e.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
