@@ -99,3 +99,9 @@ def test_removal_keeps_untouched_text(spark):
     rows = [(1, "Start  " + base + "\n end", "en"), (2, "Other\n\n" + base + "  rest  here", "en"), (3, base, "de"), (4, None, "fr")]
     got = {r.doc_id: r for r in D.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string, cls string")).collect()}
     assert set(got) == {1, 2, 4} and got[1].text == rows[0][1] and got[2].text == "Other\n\n  rest  here" and got[4].cls == "fr"
+
+
+def test_many_texts_under_one_id(spark):
+    rows = [(7 if i % 3 else 9, t) for i, (_, t) in enumerate(corpus(4) * 4)]
+    rows += [(7, f"short text number {i} of the hot id " * 3) for i in range(500)] + [(7, rows[0][1])] * 300
+    assert run(spark, rows) == brute(rows)

@@ -87,6 +87,12 @@ def test_hot_group_ties_nulls_and_repeats(spark):
     assert run(spark, rows) == brute(rows)
 
 
+def test_many_texts_under_one_id(spark):
+    rows = [(7 if i % 3 else i, t) for i, t in corpus(5)]
+    rows += [(7, f"text number {i} of the hot id says {i * 7} and {i * 11}") for i in range(800)] + [(7, rows[0][1])] * 200
+    assert run(spark, rows) == brute(rows)
+
+
 def test_empty_table_and_long_text(spark):
     assert run(spark, []) == []
     rnd = random.Random(3)

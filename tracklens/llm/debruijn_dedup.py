@@ -91,8 +91,8 @@ def _posts(k: int):
                 for i, a, z in part.bounds(k):
                     anchors[i] = np.unique(low[a:z])
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id"), pa.array(np.diff(part.off)), pa.array(sa), pa.array(sb), pa.array(anchors, pa.list_(pa.int64()))],
-                    ["doc_id", "n_words", "sig_a", "sig_b", "anchors"],
+                    [rows.column("doc_id"), rows.column("h"), pa.array(np.diff(part.off)), pa.array(sa), pa.array(sb), pa.array(anchors, pa.list_(pa.int64()))],
+                    ["doc_id", "h", "n_words", "sig_a", "sig_b", "anchors"],
                 )
 
     return run
@@ -190,7 +190,8 @@ def _agreeing(spans: DataFrame, classes: DataFrame, docs: DataFrame, k: int) ->
     """Spans split into those whose words equal their source's and the rest."""
     ranges = spans.select("cls", "start", "n").union(spans.select("o_cls", "o_start", "n")).distinct()
     wanted = ranges.groupBy("cls").agg(F.collect_list(F.struct("start", "n")).alias("ranges")).join(classes, "cls")
-    texts = docs.join(wanted.withColumnRenamed("doc", "doc_id"), "doc_id").select("cls", "sig_a", "sig_b", "ranges", "text")
+    on = [c for c in ("doc_id", "h") if c in docs.columns]
+    texts = docs.join(wanted.withColumnRenamed("doc", "doc_id"), on).select("cls", "sig_a", "sig_b", "ranges", "text")
     dig = settle(texts.mapInArrow(_digests(k), "cls long, start long, n long, da long, db long").distinct(), "digests")
     there = dig.select(F.col("cls").alias("o_cls"), F.col("start").alias("o_start"), "n", F.col("da").alias("oa"), F.col("db").alias("ob"))
     both = spans.join(dig, ["cls", "start", "n"]).join(there, ["o_cls", "o_start", "n"]).withColumn("ok", F.expr("da = oa AND db = ob"))
@@ -200,16 +201,18 @@ def _agreeing(spans: DataFrame, classes: DataFrame, docs: DataFrame, k: int) ->
 
 
 def repeated_ranges(docs: DataFrame, k: int = K) -> DataFrame:
-    """The word ranges to remove: doc_id, ranges (of sig_a, sig_b, start, end;
-    a range counts for rows of the doc_id with that text signature)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sig = settle(docs.mapInArrow(_posts(k), "doc_id long, n_words long, sig_a long, sig_b long, anchors array<long>"), "posts")
+    """The word ranges to remove: doc_id, h (the text's hash), ranges (of
+    sig_a, sig_b, start, end; a range counts for a text with that signature)."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("h"), F.col("text").cast("string").alias("text"))
+    sig = settle(docs.mapInArrow(_posts(k), "doc_id long, h long, n_words long, sig_a long, sig_b long, anchors array<long>"), "posts")
     fit = sig.where((F.col("n_words") >= k) & F.col("doc_id").isNotNull())
-    classes = fit.groupBy("sig_a", "sig_b", "n_words").agg(F.min("doc_id").alias("doc"), F.first("anchors").alias("anchors"))
+    classes = fit.groupBy("sig_a", "sig_b", "n_words").agg(F.min(F.struct("doc_id", "h")).alias("s"), F.first("anchors").alias("anchors"))
+    classes = classes.select("sig_a", "sig_b", "n_words", F.col("s.doc_id").alias("doc"), F.col("s.h").alias("h"), "anchors")
     classes = settle(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
-    names = classes.select("cls", "doc", "sig_a", "sig_b")
-    copies = fit.select("doc_id", "sig_a", "sig_b", "n_words").join(names, ["sig_a", "sig_b"]).where("doc_id > doc")
-    copies = settle(copies.select("doc_id", "sig_a", "sig_b", F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end")), "copies")
+    names = classes.select("cls", "doc", "h", "sig_a", "sig_b")
+    copies = fit.select("doc_id", "h", "sig_a", "sig_b", "n_words").join(names.drop("h"), ["sig_a", "sig_b"]).where("doc_id > doc")
+    copies = copies.select("doc_id", "h", "sig_a", "sig_b", F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end"))
+    copies = settle(copies.distinct(), "copies")  # a repeated row needs no range of its own
     discard(sig)
     # 1: shared minimizers
     posts = classes.select("cls", "doc", F.explode("anchors").alias("anchor"))
@@ -220,7 +223,7 @@ def repeated_ranges(docs: DataFrame, k: int = K) -> DataFrame:
     names = settle(names, "names")
     discard(classes, common)
     # 2: edges
-    texts = docs.join(wanted.withColumn("doc_id", F.col("doc")), "doc_id").select("cls", "doc", "sig_a", "sig_b", "anchors", "text")
+    texts = docs.join(wanted.withColumn("doc_id", F.col("doc")), ["doc_id", "h"]).select("cls", "doc", "sig_a", "sig_b", "anchors", "text")
     seen = settle(texts.mapInArrow(_occurrences(k), "v_in long, v_out long, doc long, cls long, pos long"), "windows")
     discard(wanted)
     edges = seen.groupBy("v_in", "v_out").agg(F.min(F.struct("doc", "cls", "pos")).alias("o"), F.max("doc").alias("hi")).where("o.doc < hi")
@@ -239,9 +242,10 @@ def repeated_ranges(docs: DataFrame, k: int = K) -> DataFrame:
         step = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))
         single = bad.withColumn("i", step).select("cls", "doc", "o_cls", (F.col("start") + F.col("i")).alias("start"), (F.col("o_start") + F.col("i")).alias("o_start"), F.lit(1).cast("long").alias("n"))
         good = good.unionByName(_agreeing(settle(single, "single"), names, docs, k)[0])
-    # 5: ranges by document
-    found = good.join(names.select("cls", "sig_a", "sig_b"), "cls").select(F.col("doc").alias("doc_id"), "sig_a", "sig_b", "start", (F.col("start") + F.col("n") + k - 1).alias("end"))
-    return found.unionByName(copies).groupBy("doc_id").agg(F.collect_list(F.struct("sig_a", "sig_b", "start", "end")).alias("ranges"))
+    # 5: ranges by text
+    own = ["h", "sig_a", "sig_b"]
+    found = good.join(names.select("cls", *own), "cls").select(F.col("doc").alias("doc_id"), *own, "start", (F.col("start") + F.col("n") + k - 1).alias("end"))
+    return found.unionByName(copies).groupBy("doc_id", "h").agg(F.collect_list(F.struct("sig_a", "sig_b", "start", "end")).alias("ranges"))
 
 
 def _covered(ranges: list[dict] | None, sig: tuple[int, int], n: int) -> list[tuple[int, int]]:
@@ -256,8 +260,8 @@ def _covered(ranges: list[dict] | None, sig: tuple[int, int], n: int) -> list[tu
 
 
 def _with_ranges(docs: DataFrame, k: int) -> DataFrame:
-    ranges = repeated_ranges(docs.select("doc_id", "text"), k).withColumnRenamed("ranges", "_ranges")
-    return docs.join(ranges, "doc_id", "left")
+    ranges = repeated_ranges(docs.select("doc_id", "text"), k).withColumnsRenamed({"ranges": "_ranges", "h": "_h"})
+    return docs.withColumn("_h", F.xxhash64(F.col("text").cast("string"))).join(ranges, ["doc_id", "_h"], "left")
 
 
 def digest_kept(docs: DataFrame, k: int = K) -> DataFrame:

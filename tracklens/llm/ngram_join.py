@@ -96,10 +96,10 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             prefix = [as_long(s[: len(s) - least_overlap(len(s)) + base_matches(len(s))]) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([a for a, _ in sig], pa.int64()),
+                    part.column("doc_id").cast(pa.int64()), part.column("h"), pa.array([len(s) for s in sets], pa.int64()), pa.array([a for a, _ in sig], pa.int64()),
                     pa.array([b for _, b in sig], pa.int64()), pa.array(prefix, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "sig_a", "sig_b", "prefix"],
+                ["doc_id", "h", "n_shingles", "sig_a", "sig_b", "prefix"],
             )
 
 
@@ -219,9 +219,11 @@ def _cross_pairs(prefixes: DataFrame, comp: DataFrame, by_hub: DataFrame) -> Dat
 def similar_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sig = settle(docs.mapInArrow(_signatures, "doc_id long, n_shingles long, sig_a long, sig_b long, prefix array<long>"), "signatures")
+    docs = docs.withColumn("h", F.xxhash64("text"))  # rows that share an id are told apart by their texts
+    sig = settle(docs.mapInArrow(_signatures, "doc_id long, h long, n_shingles long, sig_a long, sig_b long, prefix array<long>"), "signatures")
     linked = sig.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = linked.groupBy("sig_a", "sig_b").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"))
+    classes = linked.groupBy("sig_a", "sig_b").agg(F.min(F.struct("doc_id", "h")).alias("s"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"))
+    classes = classes.select("sig_a", "sig_b", F.col("s.doc_id").alias("rep"), F.col("s.h").alias("h"), "n", "prefix")
     classes = settle(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
     # 2: hash-order prefixes
     posts = classes.select("cls", "n", F.explode("prefix").alias("token"))
@@ -230,8 +232,8 @@ def similar_components(docs: DataFrame) -> DataFrame:
     smallest = F.ceil(NUM * F.col("n") / DEN)
     needed = 1 + F.floor(smallest / BASE_SHARE)
     active = posts.join(common, "token", "left_semi").groupBy("cls", "n").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= needed)
-    active = settle(classes.select("cls", "n", "rep", "sig_a", "sig_b").join(active.select("cls"), "cls"), "active")
-    text = docs.join(active.withColumnRenamed("rep", "doc_id"), "doc_id")
+    active = settle(classes.select("cls", "n", "rep", "h", "sig_a", "sig_b").join(active.select("cls"), "cls"), "active")
+    text = docs.join(active.withColumnRenamed("rep", "doc_id"), ["doc_id", "h"])
     sets = text.select("cls", "n", "sig_a", "sig_b", "text").mapInArrow(_sets, "cls long, n long, tokens array<long>")
     sets = settle(sets.dropDuplicates(["cls"]), "sets")  # a repeated row of the representative
     # 3: exact frequencies, adaptive prefixes
