@@ -2,7 +2,10 @@
 
 Every row of ``events`` is one ping.  Each 2,000 events are a fleet of twenty
 vessels in ten pairs that approach and part periodically, so vessels, pairs
-and pings grow with the table.  The fleets have duplicates, GPS spikes,
+and pings grow with the table.  Fleets start 1,000 s apart; every 2,600th
+starts the month anew, at another longitude (80 places) and then latitude
+(2), so all fleets lie inside the time window and, up to 8 * 10^8 events,
+apart from each other.  The fleets have duplicates, GPS spikes,
 stationary vessels, Class B, a SAR MMSI, vessels that fall silent (a
 replacement vessel sends the later pings), points in the box but outside the
 circle, pairs that keep over 100 m apart, fast approaches, sudden stops and
@@ -22,24 +25,24 @@ WITH b AS (
          CAST(floor((event_id % 2000) / 20) AS BIGINT) AS s,
          CAST(floor((event_id % 20) / 2) AS BIGINT) AS p
   FROM {events}),
-c AS (SELECT *, g * 100 + s AS n, abs((s * (1 + p % 3)) % 60 - 30) AS tri,
+c AS (SELECT *, g % 2600 * 100 + s AS n, CAST(floor(g / 2600) AS BIGINT) AS w, abs((s * (1 + p % 3)) % 60 - 30) AS tri,
              (v = 1 AND s > 30) OR (v IN (10, 11) AND s > 35) AS replaced FROM b)
 SELECT event_id,
-  CASE WHEN v = 18 THEN 111000018 + g * 100 ELSE 219000000 + g * 100 + v + CASE WHEN replaced THEN 50 ELSE 0 END END AS mmsi,
-  1638316800 + CASE WHEN v = 19 THEN g * 1000 + s * 7200
+  CASE WHEN v = 18 THEN 111000000018 + g * 100 ELSE 219000000 + g * 100 + v + CASE WHEN replaced THEN 50 ELSE 0 END END AS mmsi,
+  1638316800 + CASE WHEN v = 19 THEN g % 2600 * 1000 + s * 7200
                     WHEN s % 17 = 16 THEN (n - 1) * 10 + (v % 2) * 3
                     ELSE n * 10 + (v % 2) * 3 END AS ts_unix,
   CASE WHEN event_id % 223 = 7 THEN NULL
        WHEN event_id % 211 = 9 THEN CAST(0 AS DOUBLE)
        WHEN event_id % 199 = 11 THEN 55.985e0
-       ELSE 55.225e0 + (CASE WHEN p = 1 THEN 0 ELSE p END) * 5e-2
+       ELSE 55.225e0 - CAST(floor(w / 80) AS BIGINT) % 2 * 5e-1 + (CASE WHEN p = 1 THEN 0 ELSE p END) * 5e-2
             + (v % 2) * (tri * CASE WHEN p = 3 THEN 1.85e-3 ELSE 2e-4 END) + ((event_id * 7919) % 9973) * 1e-9
             + CASE WHEN v = 9 THEN 1e-3 ELSE 0e0 END
             + CASE WHEN s % 23 = 11 AND event_type = 'error' THEN 5e-1 ELSE 0e0 END
             + CASE WHEN v = 13 THEN 2e0 ELSE 0e0 END END AS lat,
   CASE WHEN event_id % 211 = 9 THEN CAST(0 AS DOUBLE)
        WHEN event_id % 199 = 11 THEN 15.645e0
-       ELSE 14.245e0 + s * 1e-4 + ((event_id * 6271) % 9967) * 1e-9 END AS lon,
+       ELSE 14.245e0 + (w + 40) % 80 * 1.5e-2 - 6e-1 + s * 1e-4 + ((event_id * 6271) % 9967) * 1e-9 END AS lon,
   CASE WHEN event_id % 97 = 5 THEN NULL
        WHEN v IN (14, 15) THEN 1e-1
        WHEN v = 4 THEN CASE WHEN s % 20 <= 10 THEN 4e1 ELSE 2e0 END
