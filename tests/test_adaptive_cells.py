@@ -1,0 +1,71 @@
+import random
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.helpers import pings
+from tracklens.config import EncounterConfig
+from tracklens.operators.proximity import adaptive_sides, add_grid, hot_cells, proximity_pairs
+
+CFG = EncounterConfig(max_cell_pings=20)
+
+
+def harbour(spark, n, spread, seed=3):
+    """A third of the pings in one spot, a third in a small area around it,
+    the rest along the lines of the search grid."""
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        r = spread * (0 if i % 3 == 0 else 1 if i % 3 == 1 else 40)
+        lat = 55.2 + rnd.uniform(-r, r)
+        rows.append({"mmsi": 219000000 + i % 97, "t": rnd.randrange(120), "lat": lat, "lon": 14.2 + rnd.uniform(-r, r)})
+    df = add_grid(pings(spark, rows), CFG)
+    return df.withColumns({f"prev_{c}": F.lit(None).cast(t) for c, t in (("lat", "double"), ("lon", "double"), ("unix", "long"))})
+
+
+def keys(df):
+    return sorted((r.mmsi_a, r.ts_unix_a, r.lat_a, r.lon_a, r.mmsi_b, r.ts_unix_b, r.lat_b, r.lon_b, r.distance_nm) for r in df.collect())
+
+
+@pytest.mark.parametrize("spread,bound,depth", [(5e-4, 20, 4), (2e-3, 5, 3), (5e-4, 20, 0), (1e-2, 10_000, 4)])
+def test_same_pairs_as_without_cells(spark, spread, bound, depth):
+    df = harbour(spark, 700, spread).cache()
+    cfg = replace(CFG, max_cell_pings=bound, max_cell_depth=depth)
+    cells = hot_cells(df, cfg)
+    assert (cells.count() > 0) == (bound < 1000)
+    got = keys(proximity_pairs(df, cfg, "adaptive"))
+    assert got == keys(proximity_pairs(df, cfg, "border")) == keys(proximity_pairs(df, cfg, "neighbors"))
+    assert len(got) > 1000
+
+
+def test_comparisons_of_one_key_stay_bounded(spark):
+    df = harbour(spark, 3000, 5e-4).cache()
+    cfg = replace(CFG, max_cell_pings=60)
+
+    def largest(a, b, on):
+        both = a.groupBy(*on).agg(F.count(F.lit(1)).alias("a")).join(b.groupBy(*on).agg(F.count(F.lit(1)).alias("b")), on)
+        return both.agg(F.max(F.col("a") * F.col("b"))).first()[0]
+
+    plain = largest(*adaptive_sides(df, replace(CFG, max_cell_pings=10**6)))
+    split = largest(*adaptive_sides(df, cfg))
+    assert plain > 100 * cfg.max_cell_pings**2 and split < 3 * cfg.max_cell_pings**2
+
+
+def test_parts_are_disjoint_and_hold_every_ping(spark):
+    df = harbour(spark, 900, 1e-3).cache()
+    cells = hot_cells(df, CFG).select("time_bucket", "key_y", "key_x", F.explode("parts").alias("p")).collect()
+    assert max(r.p.d for r in cells) > 1
+    spans = {}
+    for r in cells:
+        step = 1 << (4 - r.p.d)
+        for y in range(r.p.y * step, (r.p.y + 1) * step):
+            for x in range(r.p.x * step, (r.p.x + 1) * step):
+                assert spans.setdefault((r.time_bucket, y, x), r) is r  # no fine cell lies in two parts
+    _, b, on = adaptive_sides(df, CFG)
+    assert b.select("mmsi_b", "ts_unix_b", "lat_b", "lon_b").distinct().count() == df.select("mmsi", "ts_unix", "lat", "lon").distinct().count()
+
+
+def test_bounds_are_checked():
+    with pytest.raises(ValueError, match="max_cell_pings"):
+        replace(CFG, max_cell_pings=0).validate()

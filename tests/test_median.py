@@ -1,0 +1,36 @@
+import random
+
+import pytest
+
+from tracklens.operators.tracks import median_speed, speed_counts, weighted_median
+
+
+def lower_median(values):
+    known = sorted(v for v in values if v is not None)
+    return known[(len(known) - 1) // 2] if known else None
+
+
+def medians(df):
+    return {r.mmsi: r.median_sog for r in median_speed(df).collect()}
+
+
+def test_many_distinct_speeds_of_one_vessel(spark):
+    rnd = random.Random(5)
+    speeds = [rnd.random() * 60 for _ in range(200_000)]
+    rows = [(1, s) for s in speeds] + [(2, s) for s in speeds[:1001]] + [(3, None)] * 5
+    df = spark.createDataFrame(rows, "mmsi long, sog double")
+    expected = {1: lower_median(speeds), 2: lower_median(speeds[:1001]), 3: None}
+    assert medians(df.repartition(3)) == medians(df.repartition(11, "sog")) == expected
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_small_tracks_match_sorting(spark, seed):
+    rnd = random.Random(seed)
+    rows = [(v, rnd.choice([None, 0.0, -0.5, 0.4, 0.5, 0.6, 3.2, 3.7, 40.0])) for v in range(60) for _ in range(rnd.randint(1, 12))]
+    by = {}
+    for v, s in rows:
+        by.setdefault(v, []).append(s)
+    df = spark.createDataFrame(rows, "mmsi long, sog double").repartition(5)
+    assert medians(df) == {v: lower_median(s) for v, s in by.items()}
+    counts = speed_counts(df)
+    assert counts.count() == len(set(rows)) and weighted_median(counts.limit(0)).collect() == []

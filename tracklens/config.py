@@ -86,6 +86,10 @@ class EncounterConfig:
     # single cell-minutes hold tens of thousands of pings (the join compares
     # their square); each step costs one more copy of the moving pings.
     cell_salts: int = 1
+    # The adaptive pair join quarters a cell-minute, up to this many times, while
+    # one side has more pings in it, and deals what is left into shares.
+    max_cell_pings: int = 2048
+    max_cell_depth: int = 4
     # Buckets of the materialised track tables (None: spark.sql.shuffle.partitions).
     # Size so one bucket of clean tracks fits a task comfortably.
     track_buckets: int | None = None
@@ -131,6 +135,8 @@ class EncounterConfig:
             )
         if self.cell_salts < 1:
             raise ValueError("cell_salts must be >= 1")
+        if self.max_cell_pings < 1 or not 0 <= self.max_cell_depth <= 8:
+            raise ValueError("max_cell_pings must be >= 1 and max_cell_depth in 0..8")
         if self.join_cell_factor < 1.0:
             raise ValueError("join_cell_factor must be >= 1")
         if self.track_buckets is not None and self.track_buckets <= 0:

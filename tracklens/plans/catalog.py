@@ -8,7 +8,9 @@ compare exactly with the DuckDB oracle (``tracklens.plans.oracle``).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,17 +18,20 @@ from pyspark.sql import functions as F
 
 from tracklens.config import EncounterConfig
 from tracklens.functions.geo import haversine_nm, utc_day
+from tracklens.operators import day_state as ds
 from tracklens.operators import filters as flt
 from tracklens.operators import proximity as prox
 from tracklens.operators import reaction as rx
 from tracklens.operators import score as sc
 from tracklens.operators import tracks as tr
 from tracklens.operators import trajectory as tj
-from tracklens.plans.materialize import materialize
+from tracklens.plans.daily import from_store, ingest_day
+from tracklens.plans.materialize import materialize, shared_checkpoint_dir
 from tracklens.operators.tracks import TRACK_KEYS
 from tracklens.schema import CSV_COLUMNS
-from tracklens.sources.ais_csv import parse_ais
+from tracklens.sources.ais_csv import parse_ais, split_ais_csv
 from tracklens.sources.fixture import FIXTURE_ORDER, pings_from_events
+from tracklens.sources.store import DAY_COLUMN, read_pings, write_pings
 
 CFG = EncounterConfig()
 BASE = ["event_id", "mmsi", "ts_unix", "lat", "lon", "sog", "cog", "name", "ship_type", "mobile_type"]
@@ -40,6 +45,10 @@ SCORED = CAND + [
     "silence_count", "min_silence_s", "max_sog_drop", "max_cog_change", "post_event_divergence",
     "scene_density", "collision_score",
 ]
+SILENCE = [
+    "mmsi_a", "mmsi_b", "ts_unix_a", "ts_unix_b", "last_ping_a", "last_ping_b", "event_unix", "silence_a",
+    "silence_b", "silent_a", "silent_b", "silence_count", "min_silence_s",
+]
 ROUNDED = {
     "dist_center_nm", "dist_prev", "implied_speed", "distance_nm", "closing_speed_kn", "max_sog_drop",
     "max_cog_change", "post_event_divergence", "collision_score", "sog_before", "sog_after", "cog_before",
@@ -66,6 +75,13 @@ class Fixture:
         # from files, the track shuffle is shared by both lag branches.
         return materialize(pings_from_events(self.spark, self.spark.read.parquet(f"{self.sf_dir}/events.parquet")))
 
+    @cached_property
+    def from_files(self):
+        """The fixture written as CSV files and read back: pings, rejects."""
+        folder = f"{shared_checkpoint_dir(self.spark)}/ais-{uuid.uuid4().hex}"
+        write_ais_files(_ais_text(self), f"{folder}/csv")
+        return split_ais_csv(self.spark, f"{folder}/csv", f"{folder}/tables")
+
     @cached_property
     def valid(self):
         return flt.valid_pings(self.raw)
@@ -107,6 +123,18 @@ class Fixture:
     def cleaned(self):
         return materialize(tr.clean_tracks(self.notsar, self.cfg, self.order), TRACK_KEYS, num_buckets=self.cfg.track_buckets)
 
+    @cached_property
+    def daily(self):
+        """The same pings stored by day and ingested one day after the other."""
+        folder = f"{shared_checkpoint_dir(self.spark)}/daily-{uuid.uuid4().hex}"
+        inside = flt.time_window(self.raw.where("ts_unix IS NOT NULL"), self.cfg)
+        write_pings(inside, f"{folder}/pings")
+        pings = read_pings(self.spark, f"{folder}/pings")
+        for row in pings.select(DAY_COLUMN).distinct().orderBy(DAY_COLUMN).collect():  # the window's days
+            day = row[DAY_COLUMN]
+            ingest_day(self.spark, pings.where(F.col(DAY_COLUMN) == F.lit(day)).drop(DAY_COLUMN), day, f"{folder}/store", self.cfg, self.order)
+        return from_store(self.spark, f"{folder}/store", self.cfg)
+
     @cached_property
     def clean(self):
         return materialize(tr.moving_vessels(self.cleaned, self.cfg), TRACK_KEYS, num_buckets=self.cfg.track_buckets)
@@ -118,6 +146,13 @@ class Fixture:
     def pairs(self, strategy: str = "border"):
         return prox.with_closing_speed(prox.proximity_pairs(self.pp, self.cfg, strategy))
 
+    @cached_property
+    def adaptive(self):
+        """The pair join over cells that are quartered beyond eight pings, so
+        that the cells of this fixture are."""
+        cfg = replace(self.cfg, max_cell_pings=8)
+        return prox.proximity_pairs(self.pp, cfg, "adaptive", materialize(prox.hot_cells(self.pp, cfg)))
+
     @cached_property
     def conv(self):
         return prox.converging(self.pairs(), self.cfg)
@@ -212,7 +247,18 @@ def _ais_text(fx: Fixture) -> DataFrame:
         "sog": F.when(bad == 4, "").otherwise(F.col("sog").cast("string")), "cog": F.col("cog").cast("string"),
         "name": F.col("name"), "ship_type": F.col("ship_type"), "mobile_type": F.col("mobile_type"),
     }
-    return fx.raw.select(*[text[k].alias(header) for k, header in c.items()])
+    return fx.raw.select("event_id", *[text[k].alias(header) for k, header in c.items()])
+
+
+def write_ais_files(text: DataFrame, folder: str, per_file: int = 20_000) -> None:
+    """``text`` (``event_id`` and the CSV's columns) as files of some ``per_file``
+    lines with a header each; every 83rd line is cut off, every 71st too long."""
+    cols = [F.coalesce(F.concat(F.lit('"'), F.col(f"`{c}`"), F.lit('"')), F.lit("")) for c in CSV_COLUMNS.values()]
+    line = F.when(F.col("event_id") % 83 == 8, F.concat_ws(",", *cols[:3])).when(F.col("event_id") % 71 == 9, F.concat_ws(",", *cols, F.lit("surplus"), F.lit("")))
+    lines = text.select((F.col("event_id") / per_file).cast("long").alias("file"), "event_id", line.otherwise(F.concat_ws(",", *cols)).alias("value"))
+    header = lines.select("file").distinct().select("file", F.lit(-1).cast("long").alias("event_id"), F.lit(",".join(CSV_COLUMNS.values())).alias("value"))
+    rows = lines.unionByName(header).repartition("file").sortWithinPartitions("file", "event_id")
+    rows.select("file", "value").write.partitionBy("file").text(folder)
 
 
 def _content_order(fx: Fixture) -> DataFrame:
@@ -250,6 +296,8 @@ def _radius(fx: Fixture) -> DataFrame:
 
 QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
     "ais_parse": lambda fx: flt.valid_pings(parse_ais(_ais_text(fx))).select(*[c for c in BASE if c != "event_id"]),
+    "ais_csv": lambda fx: fx.from_files[0].select(*[c for c in BASE if c != "event_id"]),
+    "ais_csv_rejects": lambda fx: fx.from_files[1].select("reason", "mmsi", F.col("_line").isNotNull().alias("malformed")),
     "clean_tracks_content_order": _content_order,
     "valid_pings": lambda fx: out(fx.valid, BASE),
     "time_window": lambda fx: out(fx.timew, BASE),
@@ -267,6 +315,11 @@ QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
     "neighbor_cells": _neighbor_cells,
     "close_pairs": lambda fx: out(fx.pairs("border"), PAIR + ["distance_nm"]),
     "proximity_pairs": lambda fx: out(fx.pairs("neighbors"), PAIR + ["distance_nm"]),
+    "adaptive_pairs": lambda fx: out(fx.adaptive, PAIR + ["distance_nm"]),
+    "daily_clean_tracks": lambda fx: out(fx.daily.cleaned, BASE),
+    "daily_median_speed": lambda fx: ds.state_medians(fx.daily.state),
+    "daily_last_ping": lambda fx: ds.state_genuine_last_ping(fx.daily.state, fx.daily.movers, fx.cfg),
+    "daily_silence_flags": lambda fx: out(ds.state_silence_flags(fx.cands, fx.daily.state, fx.daily.movers, fx.cfg), SILENCE),
     "closing_speed": lambda fx: out(fx.pairs(), PAIR + ["distance_nm", "closing_speed_kn"]),
     "converging_pairs": lambda fx: out(fx.conv, PAIR + ["distance_nm", "closing_speed_kn"]),
     "top3_per_pair": lambda fx: out(fx.top3, PAIR + ["distance_nm", "closing_speed_kn"]),
@@ -274,11 +327,7 @@ QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
     "pair_density": lambda fx: out(fx.cands, ["mmsi_a", "mmsi_b", "ts_unix_a", "ts_unix_b", "vessels_in_cell_a", "vessels_in_cell_b"]),
     "candidates": lambda fx: out(fx.cands, CAND),
     "last_ping": lambda fx: rx.genuine_last_ping(fx.clean, fx.cfg),
-    "silence_flags": lambda fx: out(
-        fx.sil,
-        ["mmsi_a", "mmsi_b", "ts_unix_a", "ts_unix_b", "last_ping_a", "last_ping_b", "event_unix", "silence_a",
-         "silence_b", "silent_a", "silent_b", "silence_count", "min_silence_s"],
-    ),
+    "silence_flags": lambda fx: out(fx.sil, SILENCE),
     "event_keys": lambda fx: fx.events,
     "event_window_pings": lambda fx: rx.event_window_pings(
         fx.events, fx.clean, fx.cfg.reaction_window_s, fx.cfg.track_chunk_s

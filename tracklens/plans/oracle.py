@@ -307,6 +307,21 @@ def oracle_queries() -> dict[str, str]:
         "WHERE event_id % 89 NOT IN (1, 2, 3)) WHERE ts_unix IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL AND mmsi IS NOT NULL "
         "AND lat BETWEEN -9e1 AND 9e1 AND lon BETWEEN -1.8e2 AND 1.8e2 AND NOT (lat = 0e0 AND lon = 0e0)",
     )
+    text = (
+        "SELECT *, event_id % 83 = 8 OR event_id % 71 = 9 AS malformed, "
+        "event_id % 89 <> 1 AS time_ok, CASE WHEN event_id % 89 = 2 THEN NULL ELSE mmsi END AS m, "
+        "CASE WHEN event_id % 89 = 3 THEN NULL ELSE lat END AS la, CASE WHEN event_id % 83 = 8 THEN NULL ELSE lon END AS lo FROM pings"
+    )
+    judged = (
+        "SELECT *, CASE WHEN time_ok AND m IS NOT NULL AND la IS NOT NULL AND lo IS NOT NULL AND la BETWEEN -9e1 AND 9e1 "
+        "AND lo BETWEEN -1.8e2 AND 1.8e2 AND NOT (la = 0e0 AND lo = 0e0) THEN NULL WHEN malformed THEN 'malformed line' WHEN NOT time_ok THEN 'bad time' "
+        f"WHEN m IS NULL OR la IS NULL OR lo IS NULL THEN 'bad number' WHEN la = 0e0 AND lo = 0e0 THEN 'position (0, 0)' ELSE 'out of range' END AS reason FROM ({text})"
+    )
+    q["ais_csv"] = with_ctes("pings", f"SELECT {plain.replace('sog', 'CASE WHEN event_id % 89 = 4 THEN NULL ELSE sog END AS sog')} FROM ({judged}) WHERE reason IS NULL")
+    q["ais_csv_rejects"] = with_ctes(
+        "pings",
+        f"SELECT reason, malformed, CASE WHEN event_id % 89 = 2 THEN 'n/a' ELSE CAST(mmsi AS VARCHAR) END AS mmsi FROM ({judged}) WHERE reason IS NOT NULL",
+    )
     content = "ts_unix, lat, lon, sog NULLS FIRST, cog NULLS FIRST, name NULLS FIRST, ship_type NULLS FIRST, mobile_type NULLS FIRST"
     step = hav("prev_lat", "prev_lon", "lat", "lon")
     q["clean_tracks_content_order"] = with_ctes(
@@ -352,6 +367,11 @@ def oracle_queries() -> dict[str, str]:
         "SELECT mmsi_a, mmsi_b, ts_unix_a, ts_unix_b, last_ping_a, last_ping_b, event_unix, silence_a, silence_b, "
         "silent_a, silent_b, silence_count, min_silence_s FROM sil",
     )
+    q["adaptive_pairs"] = q["close_pairs"]
+    q["daily_clean_tracks"] = q["clean_tracks"]
+    q["daily_median_speed"] = q["median_speed"]
+    q["daily_last_ping"] = q["last_ping"]
+    q["daily_silence_flags"] = q["silence_flags"]
     q["event_keys"] = with_ctes("evts", "SELECT mmsi, event_unix FROM evts")
     q["event_window_pings"] = with_ctes(
         "ewp", "SELECT mmsi, event_unix, ts_unix, offset_s, sog, cog FROM ewp"
