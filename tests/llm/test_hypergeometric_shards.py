@@ -61,22 +61,72 @@ def test_query(spark):
     assert max(sizes) - min(sizes) <= 1
 
 
-def test_rows_are_drawn_without_replacement_at_every_size(monkeypatch):
-    class Rng:
-        """A generator that cannot draw with replacement."""
-
-        def __init__(self, seed):
-            self.rng = np.random.default_rng(seed)
-            self.integers, self.multivariate_hypergeometric = self.rng.integers, self.rng.multivariate_hypergeometric
-
-    monkeypatch.setattr(H, "DRAWN", 700)
-    left = np.array([10**9, 0, 5, 2 * 10**9, 10**9])
-    for n in (0, 1, 2000, int(left.sum()) - 3, int(left.sum())):
-        row = H._draw(Rng(n), left, n)
+def test_the_law_beyond_numpy(monkeypatch):
+    from math import comb
+
+    left = np.array([10**12, 0, 5, 2 * 10**12, 10**12])
+    for n in (0, 1, 2000, 10**9, int(left.sum()) - 3, int(left.sum())):
+        row = H._draw(np.random.default_rng(n), left, n)
         assert row.sum() == n and (row >= 0).all() and (row <= left).all()
-    mean = np.mean([H._draw(Rng(s), left, 1500) for s in range(200)], 0)
-    assert np.abs(mean - 1500 * left / left.sum()).max() < 6
-    # the variance of a hypergeometric draw, 2/3 below that of one with replacement
-    got = np.array([H._draw_rows(np.random.default_rng(s), np.array([6, 0, 4]), 7) for s in range(4000)])
-    assert (got.sum(1) == 7).all() and (got <= [6, 0, 4]).all()
-    assert got[:, 0].mean() == pytest.approx(4.2, abs=0.06) and got[:, 0].var() == pytest.approx(7 * 0.24 * 3 / 9, abs=0.06)
+    rows = np.array([H._draw(np.random.default_rng(s), left, 10**6) for s in range(300)])
+    share = left / left.sum()
+    assert (np.abs(rows.mean(0) - 10**6 * share) <= 5 * np.sqrt(10**6 * share * (1 - share) / 300) + 0.1).all()
+    # small numbers through the same inversion, against the exact probabilities
+    monkeypatch.setattr(H, "NUMPY_ROWS", 1)
+    rng = np.random.default_rng(8)
+    for good, bad, n in ((6, 4, 7), (1, 9, 5), (40, 60, 30), (3, 0, 2)):
+        got = np.bincount([H.hypergeometric(rng, good, bad, n) for _ in range(20_000)], minlength=n + 1)[: n + 1] / 20_000
+        exact = [comb(good, k) * comb(bad, n - k) / comb(good + bad, n) for k in range(n + 1)]
+        assert np.abs(got - exact).max() < 0.015
+
+
+def brute_place(rows, shards, seed, xx):
+    """Placement recomputed row by row: ``xx`` hashes (salt, key, content)."""
+    total = len(rows)
+    blocks = max(1, -(-total // H.ROWS_PER_BLOCK))
+    block = [xx("block", *r) % blocks for r in rows]
+    counts = np.bincount(block, minlength=blocks)
+    matrix = H.communication_matrix(counts, H.equal_sizes(total, shards), seed)
+    order = lambda salt, r: (xx(salt, *r) % (1 << 64), )
+    shard = {}
+    for b in range(blocks):
+        mine = sorted((r for r, x in zip(rows, block, strict=True) if x == b), key=lambda r: order("local", r))
+        ends = np.cumsum(matrix[b])
+        for k, r in enumerate(mine):
+            shard[r] = int((ends <= k).sum())
+    out = {}
+    for s in range(shards):
+        for k, r in enumerate(sorted((r for r in rows if shard[r] == s), key=lambda r: order("slot", r))):
+            out[r] = (s, k)
+    return out
+
+
+def test_placement_against_brute_force(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(H, "ROWS_PER_BLOCK", 60)
+    df = spark.range(500).selectExpr("id * 3 AS doc_id", "id % 7 AS n")
+    content = F.xxhash64("doc_id", "n")
+    hashes = {}
+    for r in df.select("doc_id", content.alias("c"), *[F.xxhash64(F.lit(5), F.lit(x), "doc_id", content).alias(x) for x in ("block", "local", "slot")]).collect():
+        for x in ("block", "local", "slot"):
+            hashes[x, r.doc_id, r.c] = r[x]
+    rows = [(d, c) for x, d, c in hashes if x == "slot"]
+    expected = {r[0]: place for r, place in brute_place(rows, 6, 5, lambda *k: hashes[k]).items()}
+    assert {r.doc_id: (r.shard, r.slot) for r in H.shuffle_into_shards(df, "doc_id", shards=6, seed=5).collect()} == expected
+
+
+def test_many_equal_rows_and_names_of_inner_columns(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(H, "ROWS_PER_BLOCK", 50)
+    own = ["_content", "_blk", "_o", "_block", "_r", "_id", "_copy", "c0", "_ends"]
+    df = spark.range(900).selectExpr("IF(id < 500, 1, id) AS doc_id").withColumns({c: F.lit(c) for c in own} | {"m": F.create_map(F.lit("a"), F.lit(1))})
+    got = H.shuffle_into_shards(df, "doc_id", shards=5, copies_apart=100)
+    assert got.columns == [*df.columns, "shard", "slot"]
+    rows = got.collect()
+    assert all(r[c] == c for r in rows for c in own) and sum(r.doc_id == 1 for r in rows) == 500
+    by = {}
+    for r in rows:
+        by.setdefault(r.shard, []).append(r.slot)
+    assert {k: sorted(v) for k, v in by.items()} == {k: list(range(180)) for k in range(5)}

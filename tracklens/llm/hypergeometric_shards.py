@@ -24,6 +24,7 @@ import math
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from tracklens.llm.stages import dense_rank_from_zero, settle
 
@@ -31,7 +32,8 @@ SHARDS = 40
 SEED = 20_240_607
 ROWS_PER_BLOCK = 50_000
 MAX_CELLS = 4_000_000  # of the matrix: 32 MB
-DRAWN = 1_000_000  # rows drawn at once where numpy has no exact law
+NUMPY_ROWS = 1_000_000_000  # numpy draws the law below
+REACH = 14
 
 
 def communication_matrix(counts: np.ndarray, sizes: np.ndarray, seed: int) -> np.ndarray:
@@ -47,64 +49,97 @@ def communication_matrix(counts: np.ndarray, sizes: np.ndarray, seed: int) -> np
 
 
 def _draw(rng: np.random.Generator, left: np.ndarray, n: int) -> np.ndarray:
-    """One block's row, multivariate hypergeometric.  numpy draws it below 10^9
-    rows; above, the rows themselves are drawn, ``DRAWN`` at a time."""
+    """One block's row, multivariate hypergeometric: numpy's law below 10^9
+    rows, above one shard after another, each from what the others left."""
     total = int(left.sum())
-    if total < 1_000_000_000:
+    if total < NUMPY_ROWS:
         return rng.multivariate_hypergeometric(left, n, method="marginals")
-    if n > total // 2:  # what stays is as uniform as what goes
-        return left - _draw(rng, left, total - n)
-    rest = left.copy()
-    while n and rest.sum() >= 1_000_000_000:
-        some = min(n, DRAWN)
-        rest -= _draw_rows(rng, rest, some)
-        n -= some
-    return left - rest + (_draw(rng, rest, n) if n else 0)
-
-
-def _draw_rows(rng: np.random.Generator, left: np.ndarray, n: int) -> np.ndarray:
-    """The shards of ``n`` distinct rows out of those left: numbers are drawn
-    and repeats drawn again."""
-    rows = np.zeros(0, np.int64)
-    while len(rows) < n:
-        rows = np.sort(np.concatenate([rows, rng.integers(0, int(left.sum()), n - len(rows))]))
-        rows = rows[np.diff(rows, prepend=-1) > 0]
-    ends = np.searchsorted(rows, np.cumsum(left))
-    return np.diff(ends, prepend=0)
+    out = np.zeros(len(left), np.int64)
+    for j, good in enumerate(left.tolist()):
+        total -= good
+        out[j] = hypergeometric(rng, good, total, n)
+        n -= int(out[j])
+    return out
+
+
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of ``n`` rows drawn from ``good`` + ``bad`` are good, by
+    inversion around the mode: the probabilities of the counts within ``REACH``
+    standard deviations follow from each other's ratios (what lies beyond is
+    less than a double can tell from 0).  The work grows with the deviation,
+    not with the rows."""
+    low, high = max(0, n - bad), min(n, good)
+    if low == high:
+        return low
+    if good + bad < NUMPY_ROWS:
+        return int(rng.hypergeometric(good, bad, n))
+    total = good + bad
+    mode = (n + 1) * (good + 1) // (total + 2)
+    spread = math.sqrt(n * (good / total) * (bad / total) * ((total - n) / max(total - 1, 1)))
+    first, last = max(low, mode - int(REACH * spread) - 50), min(high, mode + int(REACH * spread) + 50)
+    k = np.arange(first, last, dtype=np.float64)
+    ratio = (good - k) * (n - k) / ((k + 1) * (bad - n + k + 1))  # of the counts k + 1 and k
+    weight = np.concatenate([[0.0], np.cumsum(np.log(ratio))])
+    weight = np.cumsum(np.exp(weight - weight.max()))
+    return first + int(np.searchsorted(weight, rng.random() * weight[-1], side="right"))
 
 
 def equal_sizes(rows: int, shards: int) -> np.ndarray:
     return np.array([rows // shards + (j < rows % shards) for j in range(shards)], dtype=np.int64)
 
 
-def shuffle_into_shards(df: DataFrame, key: str, shards: int = SHARDS, seed: int = SEED, content: Column | None = None) -> DataFrame:
+def shuffle_into_shards(df: DataFrame, key: str, shards: int = SHARDS, seed: int = SEED, content: Column | None = None, copies_apart: int = ROWS_PER_BLOCK) -> DataFrame:
     """``df`` plus shard (0 to shards - 1; row counts at most one apart) and
     slot (gapless from 0 in each shard).  ``content`` breaks ties between rows
-    of one key (default: a hash of all columns)."""
+    of one key (default: a hash of all columns).  More than ``copies_apart``
+    rows equal in key and content are spread over the blocks by their place
+    in the written table."""
     own = {"shard", "slot"}
-    df = df.select(*[c for c in df.columns if c not in own])
-    content = F.xxhash64(*df.columns) if content is None else content
-    seeded = lambda salt: F.xxhash64(F.lit(seed), F.lit(salt), F.col(key), F.col("_content"))
-    rows = settle(df.withColumn("_content", content), "rows")
+    names = [c for c in df.columns if c not in own]
+    inner = [f"c{i}" for i in range(len(names))]  # no clash with the columns made on the way
+    content = F.xxhash64(*[_hashable(df, c) for c in names]) if content is None else content
+    renamed = [F.col(f"`{c}`").alias(i) for c, i in zip(names, inner, strict=True)]
+    rows = df.select(*renamed, content.alias("_content"), F.monotonically_increasing_id().alias("_id"), F.lit(None).cast("long").alias("_copy"))
+    rows, key = settle(rows, "rows"), inner[names.index(key)]
+
+    def seeded(salt: str) -> Column:
+        own = [F.lit(seed), F.lit(salt), F.col(key), F.col("_content")]
+        return F.when(F.col("_copy").isNull(), F.xxhash64(*own)).otherwise(F.xxhash64(*own, "_copy"))
+
+    def dealt_to_blocks(df: DataFrame) -> tuple[DataFrame, np.ndarray]:
+        df = df.withColumn("_blk", F.pmod(seeded("block"), F.lit(blocks)).cast("int"))
+        counts = np.zeros(blocks, dtype=np.int64)
+        for r in df.groupBy("_blk").count().collect():  # one row per block
+            counts[r["_blk"]] = r["count"]
+        return df, counts
+
     total = rows.count()
     blocks = max(1, min(math.ceil(total / ROWS_PER_BLOCK), MAX_CELLS // shards))
-    rows = rows.withColumn("_blk", F.pmod(seeded("block"), F.lit(blocks)).cast("int"))
-    counts = np.zeros(blocks, dtype=np.int64)
-    for r in rows.groupBy("_blk").count().collect():  # one row per block
-        counts[r["_blk"]] = r["count"]
+    plain = rows
+    rows, counts = dealt_to_blocks(plain)
+    if counts.max() > 2 * total / blocks + copies_apart:  # rows equal in everything share a block; many are told apart by their place in the table
+        many = plain.groupBy(key, "_content").count().where(F.col("count") > copies_apart).select(F.col(key).alias("_key"), F.col("_content").alias("_same"))
+        apart = plain.join(many, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_content") == F.col("_same")), "left")
+        rows, counts = dealt_to_blocks(apart.withColumn("_copy", F.when(F.col("_same").isNotNull(), F.col("_id"))).drop("_key", "_same"))
     matrix = communication_matrix(counts, equal_sizes(total, shards), seed)
     ends = df.sparkSession.createDataFrame([(i, [int(x) for x in np.cumsum(m)]) for i, m in enumerate(matrix)], "_blk int, _ends array<long>")
     def permuted(salt: str, group: str, pieces: int, out: str, df: DataFrame) -> DataFrame:
         """Number the group's rows in the order of a seeded hash; one task
         holds one of ``pieces`` ranges of that hash."""
         top = F.shiftrightunsigned("_o", 40)  # 24 bits
-        order = [F.shiftrightunsigned("_o", 1), F.col("_o"), F.col(key), F.col("_content")]
+        order = [F.shiftrightunsigned("_o", 1), F.col("_o"), F.col(key), F.col("_content"), F.col("_copy")]
         return dense_rank_from_zero(df.withColumn("_o", seeded(salt)), [group], order, F.floor(top * pieces / (1 << 24)), out).drop("_o")
 
     local = permuted("local", "_blk", math.ceil(int(counts.max()) / ROWS_PER_BLOCK) or 1, "_r", rows)
     dealt = local.join(ends, "_blk").withColumn("shard", F.size(F.filter("_ends", lambda e: e <= F.col("_r"))))
     out = permuted("slot", "shard", math.ceil(total / shards / ROWS_PER_BLOCK) or 1, "slot", dealt.drop("_ends", "_r", "_blk"))
-    return out.drop("_content")
+    return out.select(*[F.col(i).alias(c) for c, i in zip(names, inner, strict=True)], "shard", "slot")
+
+
+def _hashable(df: DataFrame, name: str) -> Column:
+    """The column in a form that every type can be hashed in."""
+    nested = isinstance(df.schema[name].dataType, (ArrayType, MapType, StructType, VariantType))
+    return F.to_json(F.col(f"`{name}`")) if nested else F.col(f"`{name}`")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
