@@ -83,9 +83,10 @@ def shrink(groups: DataFrame, key: str, parent: Column, parents: DataFrame | Non
     rho = F.least(F.greatest(F.coalesce(raw, F.lit(0.5)), F.lit(RHO_RANGE[0])), F.lit(RHO_RANGE[1]))
     k = moments.select((1 / rho - 1).alias("k"))
     total = F.col("k") + F.col("n")
-    return g.crossJoin(F.broadcast(k)).select(  # k is one row
+    done = g.crossJoin(F.broadcast(k)).select(  # k is one row
         key, parent_key, "n", "s", ((F.col("k") * F.col("mu") + F.col("s")) / total).alias("mean"), total.alias("weight")
     )
+    return settle(done, "level")  # the next level reads it, not all above it
 
 
 def host_reputation(outcomes: DataFrame, z: float = Z) -> DataFrame:
@@ -107,16 +108,17 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     """All columns of ``pages`` (which has url) plus host, path, rule, verdict,
     posterior_mean and posterior_bound (rounded to 6 digits)."""
     own = ["host", "path", "rule", "verdict", "posterior_mean", "posterior_bound"]
-    kept = [c for c in pages.columns if c not in own]
+    names = [c for c in pages.columns if c not in own]
+    kept = [f"c{i}" for i in range(len(names))]  # no clash with the columns made on the way
     host, path = url_host_path(F.col("url"))
-    p = pages.select(*kept, host.alias("host"), path.alias("path"))
+    p = pages.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(names, kept, strict=True)], host.alias("host"), path.alias("path"))
     rule, ruled = rule_columns(F.col("host"), F.col("path"), rules)
     p = p.withColumns({"rule": rule, "ruled": ruled})
     outcome = F.when(F.col("ruled") == "allow", 1).when(F.col("ruled") == "block", 0)
     rep = settle(host_reputation(p.select("host", outcome.alias("good")), z).select("host", "mean", "bound"), "reputation")
     bound = F.round("bound", 6)
     return p.join(rep, "host").select(
-        *kept, "host", "path", "rule",
+        *[F.col(k).alias(c) for c, k in zip(names, kept, strict=True)], "host", "path", "rule",
         F.coalesce("ruled", F.when(bound >= min_bound, "allow").otherwise("block")).alias("verdict"),
         F.round("mean", 6).alias("posterior_mean"), bound.alias("posterior_bound"),
     )
