@@ -130,3 +130,35 @@ def test_sql_agrees_on_nested_quotes(spark, tmp_path):
     assert got.where("reply_depth > 1").count() > 0
     ok, msg = compare(got, con, Q.ORACLE)
     assert ok, msg
+
+
+def test_columns_with_names_of_inner_ones(spark):
+    own = ["msg", "_conv", "_b", "_alone", "path", "_size", "_block", "parent", "b", "x0", "step", "block", "here"]
+    rows = [(1, t, "user", x) for t, x in enumerate(["Hello there", "> Hello there\nHi", ">> Hello there\n> Hi\nwell", None])]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    plain = [tuple(r) for r in thread_conversations(df).orderBy("position").collect()]
+    from pyspark.sql import functions as F
+
+    wide = df.withColumns({c: F.lit(777) for c in own} | {"m": F.create_map(F.lit("a"), F.col("turn"))})
+    got = thread_conversations(wide).orderBy("position")
+    assert got.columns == ["conv_id", "turn", "role", "text", *own, "m", "body", "quote_depth", "parent_turn", "reply_depth", "position"]
+    for r, p in zip(got.collect(), plain, strict=True):
+        assert all(r[c] == 777 for c in own) and r["m"] == {"a": r.turn}
+        assert (r.conv_id, r.turn, r.role, r.text, r.body, r.quote_depth, r.parent_turn, r.reply_depth, r.position) == p
+
+
+def test_a_line_that_is_quoted_over_many_blocks_of_turns(spark):
+    """The last earlier original is found in the quote's own block of turns or
+    in any block before it."""
+    rows, last = [], None
+    expected = {}
+    for t in range(0, 3000, 7):
+        if t % 5 == 0 and (t < 200 or t > 2500):
+            rows.append((1, t, "user", "the common line"))
+            last = t
+        else:
+            rows.append((1, t, "user", f"> the common line\nanswer {t}"))
+            expected[t] = last
+    rows.append((1, None, "user", "the common line"))
+    got = {r.turn: r.parent_turn for r in thread_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert {t: got[t] for t in expected if expected[t] is not None} == {t: p for t, p in expected.items() if p is not None}

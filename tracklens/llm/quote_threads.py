@@ -74,8 +74,9 @@ def quote_links(messages: DataFrame) -> DataFrame:
 
     Quoted pieces are joined to originals on (conversation, level, hash).
     Of a piece that many messages contain only the latest earlier one can be
-    the parent, so originals and quotes are merged in turn order per hash and
-    the last original seen is carried forward: no pairs are formed.
+    the parent, so originals and quotes are merged in turn order per hash, a
+    block of turns at a time, and the last original is carried forward: no
+    pairs are formed.
     """
     pieces = settle(_pieces(quote_lines(messages)), "pieces")
     quoted = pieces.where("level > 0").select("conv_id", (F.col("level") - 1).alias("level"), "hash").distinct()
@@ -87,12 +88,21 @@ def quote_links(messages: DataFrame) -> DataFrame:
         "conv_id", (F.col("level") - 1).alias("level"), "hash", "turn", F.lit(1).alias("side"), F.lit(None).cast("long").alias("source"), "msg",
         "passage", "whole", "chars", F.col("level").cast("long").alias("quote_level"),
     )
-    # A message at the same turn is not earlier: quotes sort before originals of their turn.
-    seen = Window.partitionBy("conv_id", "level", "hash").orderBy(F.col("turn"), F.col("side").desc(), F.col("source")).rowsBetween(Window.unboundedPreceding, 0)
-    linked = originals.unionByName(quotes).withColumns({
-        "parent": F.last("source", ignorenulls=True).over(seen),
-        "parent_turn": F.last(F.when(F.col("side") == 0, F.col("turn")), ignorenulls=True).over(seen),
-    }).where("side = 1 AND parent IS NOT NULL")
+    # Only a block of turns meets in a task: the last original of each block is carried over the (small)
+    # table of blocks to the later ones.  A message at the same turn is not earlier: quotes sort before
+    # originals of their turn.
+    group = ["conv_id", "level", "hash"]
+    turns = F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(1 << 61)))  # a null turn sorts first
+    both = originals.unionByName(quotes).withColumn("block", turns)
+    original = F.when(F.col("side") == 0, F.struct("turn", "source"))
+    seen = Window.partitionBy(*group, "block").orderBy(F.col("turn"), F.col("side").desc(), F.col("source")).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(*group).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = both.groupBy(*group, "block").agg(F.max(original).alias("final")).withColumn("before", F.last("final", ignorenulls=True).over(earlier)).drop("final")
+    linked = both.withColumn("here", F.last(original, ignorenulls=True).over(seen)).where("side = 1")
+    keys = [linked[c].eqNullSafe(carried[c]) for c in (*group, "block")]
+    found = F.coalesce("here", "before")
+    linked = linked.join(carried, keys, "left").select("msg", "quote_level", "whole", "chars", found["source"].alias("parent"), found["turn"].alias("parent_turn"))
+    linked = linked.where("parent IS NOT NULL")
     best = F.struct(-F.col("quote_level"), F.col("whole"), F.col("chars"), F.col("parent_turn"), F.col("parent"))
     return linked.groupBy("msg").agg(F.max(best).alias("b")).select("msg", F.col("b.parent").alias("parent"))
 
@@ -103,6 +113,8 @@ def thread_conversations(messages: DataFrame) -> DataFrame:
     each conversation, replies after what they answer)."""
     own = ["body", "quote_depth", "parent_turn", "reply_depth", "position"]
     extra = [c for c in messages.columns if c not in ["conv_id", "turn", "role", "text", *own]]
+    names, extra = extra, [f"x{i}" for i in range(len(extra))]  # no clash with the columns made on the way
+    messages = messages.select("conv_id", "turn", "role", "text", *[F.col(f"`{c}`").alias(x) for c, x in zip(names, extra, strict=True)])
     level = F.array_max(F.transform(F.split(F.coalesce("text", F.lit("")), r"\r?\n"), lambda x: F.length(F.regexp_replace(F.regexp_extract(x, MARKS, 0), "[^>]", ""))))
     m = messages.select("conv_id", "turn", "role", "text", *extra).withColumns({"quote_depth": level, "msg": F.monotonically_increasing_id()})
     m = settle(m, "messages")
@@ -129,7 +141,7 @@ def thread_conversations(messages: DataFrame) -> DataFrame:
     rows = rows.withColumn("_b", part(1)).join(many, ["_conv", "_alone", "_b"])
     rows = dense_rank_from_zero(rows, ["_conv", "_alone"], [F.col("path")], F.when(F.col("_size") > 4 * BLOCK_TURNS, block).otherwise(single), "position")
     return rows.select(
-        "conv_id", "turn", "role", "text", *extra, own_text(F.col("text")).alias("body"), "quote_depth", "parent_turn",
+        "conv_id", "turn", "role", "text", *[F.col(x).alias(c) for c, x in zip(names, extra, strict=True)], own_text(F.col("text")).alias("body"), "quote_depth", "parent_turn",
         (F.size("path") - 1).alias("reply_depth"), "position",
     )
 
