@@ -100,12 +100,11 @@ class MultiIndex:
     def __init__(self, block: np.ndarray):
         self.words = np.ascontiguousarray(block).view(np.uint64)
         self.size = len(block)
-        self.values, self.order, self.bounds = [], [], []
+        self.values, self.bucket = [], []  # of each substring: the distinct values, and each code's place among them
         for j in range(block.shape[1]):
             values, bucket = np.unique(block[:, j], return_inverse=True)
             self.values.append(values)
-            self.order.append(np.argsort(bucket, kind="stable"))
-            self.bounds.append(np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=len(values)))]))
+            self.bucket.append(bucket)
 
     def distances(self, asked: np.ndarray) -> np.ndarray:
         """Hamming distances, asked codes x block."""
@@ -115,35 +114,28 @@ class MultiIndex:
             out += np.bitwise_count(words[:, w, None] ^ self.words[None, :, w])
         return out
 
-    def within(self, asked: np.ndarray, radius: int, width: int = 8) -> Iterator[np.ndarray]:
-        """For each asked code the block's codes within ``radius`` bits.
+    def candidates(self, asked: np.ndarray, radii: list[int]) -> np.ndarray:
+        """Marks (asked x block) of the codes that agree with an asked one
+        within the radius of at least one substring.  Of each index the values
+        within the radius are marked (the index's values bound that work, not
+        the possible ones), and the members of marked buckets are taken."""
+        found = np.zeros((len(asked), self.size), bool)
+        for j, r in enumerate(radii):
+            if r >= 0:
+                close = POPCOUNT[self.values[j] ^ asked[:, j, None]] <= r
+                found |= close[:, self.bucket[j]]
+        return found
 
-        Where some substring's neighbourhood holds more values than its index
-        has buckets, probing would visit every bucket; all codes are then
-        candidates and go to the Hamming test at once."""
-        radii = [(j, r) for j, r in enumerate(substring_radii(radius, asked.shape[1])) if r >= 0]
-        whole = any(len(NEIGHBOURS[r]) >= len(self.values[j]) for j, r in radii)
+    def within(self, asked: np.ndarray, radius: int, width: int = 8) -> Iterator[np.ndarray]:
+        """For each asked code the block's codes within ``radius`` bits: the
+        pigeonhole's candidates from the indexes, then the Hamming test."""
+        radii = substring_radii(radius, asked.shape[1])
+        words = np.ascontiguousarray(asked).view(np.uint64)
         for start in range(0, len(asked), width):
-            some = asked[start : start + width]
-            close = self.distances(some) <= radius if whole else None
-            for i, code in enumerate(some):
-                yield np.flatnonzero(close[i]) if whole else self._probe(code, radii, radius)
-
-    def _probe(self, code: np.ndarray, radii: list[tuple[int, int]], radius: int) -> np.ndarray:
-        """Look up every value of each substring's neighbourhood."""
-        found = np.zeros(self.size, bool)
-        for j, r in radii:
-            values, probe = self.values[j], code[j] ^ NEIGHBOURS[r]
-            at = np.minimum(np.searchsorted(values, probe), len(values) - 1)
-            for b in at[values[at] == probe]:
-                found[self.order[j][self.bounds[j][b] : self.bounds[j][b + 1]]] = True
-        at = np.flatnonzero(found)
-        words = np.ascontiguousarray(code).view(np.uint64)
-        return at[np.bitwise_count(self.words[at] ^ words).sum(1, dtype=np.int64) <= radius]
-
-
-#: 16-bit masks with at most r bits set
-NEIGHBOURS = [np.flatnonzero(POPCOUNT <= r).astype(np.uint16) for r in range(17)]
+            found = self.candidates(asked[start : start + width], radii)
+            for word, marks in zip(words[start : start + width], found, strict=True):
+                at = np.flatnonzero(marks)
+                yield at[np.bitwise_count(self.words[at] ^ word).sum(1, dtype=np.int64) <= radius]
 
 
 def best(score: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
