@@ -194,3 +194,49 @@ def test_samples_are_bounded_where_an_id_repeats(spark, monkeypatch, op):
         monkeypatch.setattr(T, "fit_logistic", lambda x, y: seen.extend(y) or (0, 1, 0))
         T.learn(docs, labels)
     assert 150 < len(seen) < 450
+
+
+def buckets_of(text):
+    """The features of a text, one after another, in plain Python."""
+    words = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", text) if w]
+    feature, off = Q.word_features(pa.array(words, pa.string()))
+    out = [b for k in range(len(words)) for b in feature[off[k] : off[k + 1]].tolist()]
+    pair, _ = Q.pair_features(pa.array(words, pa.string()), np.array([sorted(set(words)).index(w) for w in words], np.int64), np.array([0, len(words)]))
+    return out + pair.tolist()
+
+
+def test_quality_score_is_the_softmax_of_the_mean_vector(spark):
+    rng = np.random.default_rng(3)
+    weights, bias = rng.normal(size=Q.BUCKETS).astype(np.float32), 0.25
+    texts = ["", None, "one", "ab ab ab cd", "Ein längerer Text mit Wörtern, und noch mehr Wörtern"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in Q.score_texts(docs, weights, bias).collect()}
+    for i, t in enumerate(texts):
+        f = buckets_of(t or "")
+        z = sum(float(weights[b]) for b in f) / max(len(f), 1) + bias
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-6)
+
+
+def test_one_step_of_gradient_descent(monkeypatch):
+    monkeypatch.setattr(Q, "EPOCHS", 1)
+    monkeypatch.setattr(Q, "MIN_STEPS", 1)
+    texts, labels = ["good words here", "vrx vrx bad", "good text"], np.array([1, 0, 1])
+    weights, bias = Q.train(texts, labels)
+    # the same step, text by text and feature by feature
+    rng = np.random.default_rng(Q.SEED)
+    start = rng.uniform(-1 / Q.DIM, 1 / Q.DIM, (Q.BUCKETS, Q.DIM)).astype(np.float32).astype(np.float64)
+    vectors, output, b = start.copy(), np.zeros((Q.DIM, 2)), np.zeros(2)
+    grads = []
+    for t, y in zip(texts, labels, strict=True):
+        f = buckets_of(t)
+        hidden = np.mean([start[x] for x in f], 0)
+        z = hidden @ output + b
+        p = np.exp(z) / np.exp(z).sum()
+        grads.append((f, hidden, (p - np.eye(2)[y]) / len(texts)))
+    for f, hidden, g in grads:
+        for x in f:
+            vectors[x] -= Q.RATE * (g @ np.zeros((Q.DIM, 2)).T) / len(f)
+        output -= 0.05 * Q.RATE * np.outer(hidden, g)
+        b -= 0.05 * Q.RATE * g
+    assert np.allclose(weights, vectors @ (output[:, 1] - output[:, 0]), atol=1e-5)
+    assert bias == pytest.approx(b[1] - b[0], abs=1e-5)
