@@ -96,3 +96,25 @@ def test_states_merge_in_any_order(spark):
     same(merge_states(day_state(df.limit(0)), states[1]), states[1])
     with pytest.raises(ValueError, match="holds no complete day"):
         from_store(spark, "/tmp/there-is-no-such-store", CFG)
+
+
+def test_trajectories_read_only_the_days_of_their_windows(spark, scratch):
+    from pathlib import Path
+
+    from tracklens.operators.trajectory import trajectories
+
+    ingest(spark, month(spark), scratch, ("event_id",))
+    store = from_store(spark, f"{scratch}/store", CFG)
+    midnight = T0 + MIDNIGHT
+    events = [(1, 219000001, 219000002, midnight + 100), (2, 219000006, 219000007, midnight - 4000)]
+    top = spark.createDataFrame(
+        [(k, a, b, "A", None, t, t + 30) for k, a, b, t in events], "rank int, mmsi_a long, mmsi_b long, name_a string, name_b string, ts_unix_a long, ts_unix_b long"
+    )
+    whole = trajectories(store.cleaned.drop(DAY_COLUMN), top, CFG).cache()
+    assert whole.where(F.col("ts_unix") < midnight).count() > 0 and whole.where(F.col("ts_unix") >= midnight).count() > 0
+    pruned = trajectories(store.cleaned, top, CFG, DAY_COLUMN)
+    same(pruned, whole)
+    assert "dynamicpruning" in pruned._jdf.queryExecution().toString().lower()
+    for f in Path(f"{scratch}/store/clean/day={DAYS[3]}").glob("*.parquet"):
+        f.write_bytes(b"not a Parquet file")  # a day without a window is not opened
+    same(trajectories(store.cleaned, top, CFG, DAY_COLUMN), whole)

@@ -29,9 +29,13 @@ def trajectory_one(pings: DataFrame, mmsi: int, center_unix: int, window_s: int
     )
 
 
-def _in_windows(pings: DataFrame, windows: DataFrame, center: str, window_s: int, how: str, chunk_s: int) -> DataFrame:
+def _in_windows(
+    pings: DataFrame, windows: DataFrame, center: str, window_s: int, how: str, chunk_s: int, day_column: str | None = None
+) -> DataFrame:
     """Join ``windows`` (mmsi, ``center``, ...) to the pings within
-    +-window_s of the centre, by (mmsi, track_chunk)."""
+    +-window_s of the centre, by (mmsi, track_chunk).  With ``day_column``, the
+    UTC day column of a day-partitioned store, the windows carry their days
+    too, and the scan reads only those (dynamic partition pruning)."""
     if CHUNK in pings.columns:
         pings = checked_chunks(pings, chunk_s)
     else:
@@ -39,8 +43,14 @@ def _in_windows(pings: DataFrame, windows: DataFrame, center: str, window_s: int
     ends = [F.floor((F.col(center) + d) / chunk_s) for d in (-window_s, window_s)]
     w = windows.withColumn(CHUNK, F.explode(F.sequence(*ends))).withColumnsRenamed({"mmsi": "_m", CHUNK: "_chunk"})
     near = F.col("ts_unix").between(F.col(center) - window_s, F.col(center) + window_s)
-    joined = pings.join(w, (F.col("mmsi") == F.col("_m")) & (F.col(CHUNK) == F.col("_chunk")) & near, how)
-    return joined.drop("_m", "_chunk")
+    same = (F.col("mmsi") == F.col("_m")) & (F.col(CHUNK) == F.col("_chunk")) & near
+    if day_column:
+        days = [utc_day(F.col("_chunk") * chunk_s + d) for d in (0, chunk_s - 1)]  # of one chunk
+        w = w.withColumn("_day", F.explode(F.sequence(*days)))
+        same = same & (F.col(day_column) == F.col("_day"))
+        # Pruning takes the days from a broadcast; windows are few: those of the top k pairs.
+        w = F.broadcast(w)
+    return pings.join(w, same, how).drop("_m", "_chunk", "_day")
 
 
 def trajectory_around(pings: DataFrame, events: DataFrame, window_s: int = 600, chunk_s: int = _DEFAULT.track_chunk_s) -> DataFrame:
@@ -69,18 +79,20 @@ def event_windows(top: DataFrame) -> DataFrame:
     return top.select("rank", F.inline(sides))
 
 
-def trajectories(pings: DataFrame, top: DataFrame, cfg: EncounterConfig = _DEFAULT) -> DataFrame:
+def trajectories(pings: DataFrame, top: DataFrame, cfg: EncounterConfig = _DEFAULT, day_column: str | None = None) -> DataFrame:
     """Pings shown for every reported event: of the event's vessel, within
     +-window of the event time, and inside at least one fetch window
     (+-window around that vessel's own ping time in any reported event).
-    Adds ``rank, side, phase`` ('before' if at or before the event time)."""
+    Adds ``rank, side, phase`` ('before' if at or before the event time).
+    ``day_column`` names the UTC day column of a day-partitioned store, of
+    which then only the windows' days are read."""
     w = cfg.trajectory_window_s
-    windows = event_windows(top)
+    windows = event_windows(top).where(F.col("rank") <= cfg.top_k_pairs)
     fetch = windows.select("mmsi", F.col("fetch_unix").alias("_fc"))
     shown = windows.select("rank", "side", "mmsi", "vessel_label", "event_unix")
-    cols = [c for c in ("mmsi", *POINT_COLS, CHUNK) if c in pings.columns]
-    fetched = _in_windows(pings.select(*cols), fetch, "_fc", w, "left_semi", cfg.track_chunk_s)
-    out = _in_windows(fetched, shown, "event_unix", w, "inner", cfg.track_chunk_s).drop(CHUNK)
+    cols = [c for c in ("mmsi", *POINT_COLS, CHUNK, day_column) if c in pings.columns]
+    fetched = _in_windows(pings.select(*cols), fetch, "_fc", w, "left_semi", cfg.track_chunk_s, day_column)
+    out = _in_windows(fetched, shown, "event_unix", w, "inner", cfg.track_chunk_s).drop(CHUNK, *([day_column] if day_column else []))
     return out.withColumn(
         "phase", F.when(F.col("ts_unix") <= F.col("event_unix"), F.lit("before")).otherwise(F.lit("after"))
     )

@@ -49,6 +49,7 @@ SILENCE = [
     "mmsi_a", "mmsi_b", "ts_unix_a", "ts_unix_b", "last_ping_a", "last_ping_b", "event_unix", "silence_a",
     "silence_b", "silent_a", "silent_b", "silence_count", "min_silence_s",
 ]
+TRAJECTORY = ["rank", "side", "mmsi", "vessel_label", "event_unix", "ts_unix", "lat", "lon", "sog", "cog", "phase"]
 ROUNDED = {
     "dist_center_nm", "dist_prev", "implied_speed", "distance_nm", "closing_speed_kn", "max_sog_drop",
     "max_cog_change", "post_event_divergence", "collision_score", "sog_before", "sog_after", "cog_before",
@@ -315,6 +316,8 @@ QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
     "neighbor_cells": _neighbor_cells,
     "close_pairs": lambda fx: out(fx.pairs("border"), PAIR + ["distance_nm"]),
     "proximity_pairs": lambda fx: out(fx.pairs("neighbors"), PAIR + ["distance_nm"]),
+    "chord_pairs": lambda fx: out(fx.pairs("chord"), PAIR + ["distance_nm"]),
+    "daily_trajectories": lambda fx: tj.trajectories(fx.daily.clean, fx.top, fx.cfg, DAY_COLUMN).select(*TRAJECTORY),
     "adaptive_pairs": lambda fx: out(fx.adaptive, PAIR + ["distance_nm"]),
     "daily_clean_tracks": lambda fx: out(fx.daily.cleaned, BASE),
     "daily_median_speed": lambda fx: ds.state_medians(fx.daily.state),
@@ -356,9 +359,7 @@ QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
         ["mmsi_a", "mmsi_b", "name_a", "name_b", "event_unix", "event_lat", "event_lon", "distance_nm", "distance_m", "collision_score"],
     ),
     "trajectory_one": _trajectory_one,
-    "trajectories": lambda fx: fx.traj.select(
-        "rank", "side", "mmsi", "vessel_label", "event_unix", "ts_unix", "lat", "lon", "sog", "cog", "phase"
-    ),
+    "trajectories": lambda fx: fx.traj.select(*TRAJECTORY),
     "trajectory_lines": _lines,
     "event_report": lambda fx: tj.event_report(fx.wevent),
     "stage_counts": _stage_counts,

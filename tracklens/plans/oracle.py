@@ -418,6 +418,8 @@ def oracle_queries() -> dict[str, str]:
     q["trajectories"] = with_ctes(
         "traj", "SELECT rank, side, mmsi, vessel_label, event_unix, ts_unix, lat, lon, sog, cog, phase FROM traj"
     )
+    q["chord_pairs"] = q["close_pairs"]
+    q["daily_trajectories"] = q["trajectories"]
     pt = "CAST(round(lon * 1e6) AS BIGINT) || ' ' || CAST(round(lat * 1e6) AS BIGINT)"
     q["trajectory_lines"] = with_ctes(
         "traj",
