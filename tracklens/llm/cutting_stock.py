@@ -22,16 +22,18 @@ import functools
 import itertools
 import math
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracklens.llm.stages import dense_rank_from_zero, settle
-from tracklens.llm.text import encode, flat_words, slices
+from tracklens.llm.text import encode, flat_words, released, slices
 
 LENGTH = 4096
 GRAIN = 8
@@ -41,7 +43,12 @@ GAP = 1e-3  # column generation stops within this share of the LP's optimum
 RANK_ROWS = 50_000
 CACHED_WORDS = 250_000  # per Python worker, before the next slice adds its own
 TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII punctuation but the apostrophe, which may start a suffix
-LETTERS_END = "\u0250"  # Latin letters end here
+SPLITTABLE = r"[0-9a-z\x{df}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}]$"  # ends in a Latin letter (but U+0130, which lowers to a letter and a mark) or digit
+PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
+# A byte-level model spells a byte as the character of that number, or, for the bytes that
+# have no visible one (0-32, 127-160, 173), as the next character from number 256 on.
+_UNSEEN = [b for b in range(256) if b < 33 or 127 <= b <= 160 or b == 173]
+BYTE_LETTERS = [chr(256 + _UNSEEN.index(b)) if b in _UNSEEN else chr(b) for b in range(256)]
 
 
 class WordIds:
@@ -64,45 +71,42 @@ class WordIds:
     def _clear(self) -> None:
         self.pieces: dict[str, int] = {"": 0}  # piece -> its place in start
         self.start, self.flat = np.zeros(2, np.int64), np.zeros(0, np.uint32)
-        self.words: dict[str, int] = {}  # word -> its row in parts
-        self.parts = np.zeros((0, 2), np.int64)
 
     def _encode(self, pieces: list[str]) -> list[list[int]]:
-        """The ids of each piece; plain lower-case ASCII words go to the merge
-        model at once, the rest through normaliser and splitter in one call."""
-        plain = [p.isascii() and p.isalpha() and p.islower() for p in pieces]
+        """The ids of each piece; words of lower-case Latin letters, which the
+        normaliser and the splitter leave as they are, go to the merge model at
+        once (as bytes in the model's letters), the rest in one call."""
+        plain = [PLAIN(p) is not None for p in pieces]
         rest = iter(self.tokenizer.encode_batch_fast([p for p, x in zip(pieces, plain, strict=True) if not x], add_special_tokens=False))
-        return [[t.id for t in self.merge(p)] if x else next(rest).ids for p, x in zip(pieces, plain, strict=True)]
-
-    def _add(self, words: list[str]) -> None:
-        rows, new, pieces, n = [], [], self.pieces, len(self.start) - 1
-        for word in words:
-            stem = word.rstrip(TAIL)
-            if stem == word or not stem or not stem[-1].isalnum() or stem[-1] >= LETTERS_END or stem[-1] == "\u0130":
-                stem, tail = word, ""  # (U+0130 lowers to a letter and a mark)
-            else:
-                tail = word[len(stem) :]
-            for piece in (stem, tail):
-                if piece not in pieces:
-                    pieces[piece] = n + len(new)
-                    new.append(piece)
-            rows.append((pieces[stem], pieces[tail]))
-        self.words.update(zip(words, range(len(self.parts), len(self.parts) + len(words))))
-        self.parts = np.concatenate([self.parts, np.array(rows, np.int64)])
+        merge = self.merge
+        spell = lambda p: p if p.isascii() else "".join(map(BYTE_LETTERS.__getitem__, p.encode()))
+        return [[t.id for t in merge(spell(p))] if x else next(rest).ids for p, x in zip(pieces, plain, strict=True)]
+
+    def _places(self, pieces: list[str]) -> np.ndarray:
+        """Where ``start`` has each of the distinct pieces; new ones are added."""
+        known, n = self.pieces, len(self.start) - 1
+        new = [p for p in pieces if p not in known]
         if new:
+            known.update(zip(new, range(n, n + len(new))))
             ids = self._encode(new)
             self.start = np.concatenate([self.start, self.start[-1] + np.cumsum([len(x) for x in ids])])
             self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(ids), np.uint32)])
+        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
 
-    def __call__(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def __call__(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(flat ids, first, past the last) of the stem and the tail of each of
         the distinct words: arrays of two columns."""
-        if len(self.words) > CACHED_WORDS or len(self.flat) > 16 * CACHED_WORDS:
+        if len(self.pieces) > CACHED_WORDS or len(self.flat) > 16 * CACHED_WORDS:
             self._clear()
-        missing = [w for w in distinct if w not in self.words]
-        if missing:
-            self._add(missing)
-        at = self.parts[np.fromiter(map(self.words.__getitem__, distinct), np.int64, len(distinct))]
+        stem = pc.utf8_rtrim(distinct, TAIL)
+        stem = pc.if_else(pc.match_substring_regex(stem, SPLITTABLE), stem, distinct)
+        cut = (pc.binary_length(distinct).to_numpy() - pc.binary_length(stem).to_numpy()).astype(np.int64)
+        ends = np.flatnonzero(cut)
+        tail = pa.array([w[-k:] for w, k in zip(distinct.take(pa.array(ends)).to_pylist(), cut[ends].tolist(), strict=True)], pa.string())
+        at = np.zeros((len(distinct), 2), np.int64)  # no tail: the empty piece
+        for side, rows, values in ((0, slice(None), stem), (1, ends, tail)):
+            code, once = encode(values)
+            at[rows, side] = self._places(once.to_pylist())[code]
         return self.flat, self.start[at], self.start[at + 1]
 
 
@@ -121,7 +125,7 @@ def text_ids(texts: pa.Array, ids: WordIds, end: int = END) -> tuple[np.ndarray,
     """Ids of all texts, each closed by ``end``, and the texts' offsets."""
     words, off = flat_words(texts, lower=True)  # the tokenizer lowers case; doing it first leaves fewer words
     code, distinct = encode(words)
-    flat, first, last = ids(distinct.to_pylist())
+    flat, first, last = ids(distinct)
     first, size = first[code], (last - first)[code]
     until = np.concatenate([[0], np.cumsum(size.sum(1))])[off]  # ids before each text
     doc_off = until + np.arange(len(off))
@@ -135,30 +139,31 @@ def text_ids(texts: pa.Array, ids: WordIds, end: int = END) -> tuple[np.ndarray,
     return out, doc_off
 
 
-def token_pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, end: int = END, with_ids: bool = False) -> DataFrame:
+def token_pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, end: int = END, with_ids: bool = False, keep_cache: bool = True) -> DataFrame:
     """One row per piece of ``docs`` (doc_id, text): doc_id, start, length,
-    ids_crc32, doc_tokens and, if asked for, ids."""
+    ids_crc32, doc_tokens and, if asked for, ids.  With ``keep_cache`` a Python
+    worker keeps its words' ids for its next task."""
     where = path
 
+    @released(*([] if keep_cache else [word_ids.cache_clear]))
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = word_ids(where or vocabulary_path())
         for batch in batches:
             for rows in slices(batch):
                 ids, off = text_ids(rows.column("text"), coder, end)
                 raw = ids.astype("<u4")
-                row, start, size, crc, pieces = [], [], [], [], []
-                for i, (a, z) in enumerate(zip(off[:-1].tolist(), off[1:].tolist(), strict=True)):
-                    for s in range(a, z, length):
-                        t = min(s + length, z)
-                        row.append(i), start.append(s - a), size.append(t - s)
-                        crc.append(zlib.crc32(raw[s:t].tobytes()))
-                        if with_ids:
-                            pieces.append(raw[s:t].astype(np.int32))
-                total = np.diff(off)[row] if row else np.zeros(0, np.int64)
-                cols = [rows.column("doc_id").take(pa.array(row, pa.int64())), *[pa.array(x, pa.int64()) for x in (start, size, crc)], pa.array(total, pa.int64())]
+                total = np.diff(off)
+                count = -(-total // length)
+                row = np.repeat(np.arange(len(total)), count)
+                start = (np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)) * length
+                size = np.minimum(length, total[row] - start)
+                first = off[row] + start
+                data = memoryview(raw).cast("B")
+                crc = [zlib.crc32(data[4 * a : 4 * z]) for a, z in zip(first.tolist(), (first + size).tolist(), strict=True)]
+                cols = [rows.column("doc_id").take(pa.array(row)), *[pa.array(x, pa.int64()) for x in (start, size, crc, total[row])]]
                 names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-                if with_ids:
-                    cols.append(pa.array(pieces, pa.list_(pa.int32())))
+                if with_ids:  # the pieces lie one after another
+                    cols.append(pa.ListArray.from_arrays(pa.array(np.append(first, len(raw)), pa.int32()), pa.array(raw.astype(np.int32))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names)
 

@@ -8,7 +8,9 @@ memory per task does not depend on the table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,34 @@ _S33 = np.uint64(33)
 _FIRST_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)  # masks of the first k of eight bytes
 
 
+def give_back() -> None:
+    """Return this Python worker's freed memory to the system: Spark keeps
+    idle workers, and what they hold is missing from the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def released(*clear: Callable[[], None]):
+    """Decorator of a function over a task's batches: at the task's end the
+    caches go that ``clear`` empties, and freed memory is given back."""
+
+    def decorate(run):
+        @functools.wraps(run)
+        def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            try:
+                yield from run(batches)
+            finally:
+                for f in clear:
+                    f()
+                give_back()
+
+        return wrapped
+
+    return decorate
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive row ranges of ``batch`` of at most ``max_bytes`` text bytes
     (or one row, when a single text is longer)."""
