@@ -18,6 +18,56 @@ def test_run_job_writes_results(spark, scratch):
     assert set(r.phase for r in traj.collect()) <= {"before", "after"}
 
 
+def test_run_job_leaves_no_tables(spark, scratch):
+    from pathlib import Path
+
+    from tracklens.plans.materialize import shared_checkpoint_dir
+
+    fx = Fixture(spark, "/root/testdata/sf0.001")
+    raw, n_clean = fx.raw, fx.clean.count()  # tables of the caller's
+    folder = Path(shared_checkpoint_dir(spark).removeprefix("file:")) / "tables"
+    files = lambda: {f.name for f in folder.iterdir() if any(f.iterdir())}
+    names = lambda: {t.name for t in spark.catalog.listTables()}
+    before = files(), names()
+    out = os.path.join(scratch, "out")
+    counts = run_job(spark, raw, out, order=("event_id",))
+    assert (files(), names()) == before
+    assert counts["scored"] == spark.read.parquet(f"{out}/scored").count() == counts["candidates"] and counts["clean"] == n_clean
+    empty = os.path.join(scratch, "empty")
+    assert run_job(spark, raw.limit(0), empty, order=("event_id",)) == {"clean": 0, "candidates": 0, "scored": 0}
+    assert spark.read.parquet(f"{empty}/report").count() == 0 and (files(), names()) == before
+
+
+def test_tables_go_when_the_job_fails(spark):
+    import pytest
+
+    from tracklens.plans.materialize import materialize, workspace
+
+    before = {t.name for t in spark.catalog.listTables()}
+    with pytest.raises(ZeroDivisionError), workspace(spark):
+        table = materialize(spark.range(7), ["id"])
+        assert table.n_rows == 7 and len({t.name for t in spark.catalog.listTables()}) == len(before) + 1
+        1 / 0
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_buckets_follow_the_bytes_of_the_input(spark, scratch):
+    from tracklens.config import EncounterConfig
+    from tracklens.operators.tracks import TRACK_KEYS, clean_tracks
+    from tracklens.plans.materialize import data_buckets, materialize
+
+    fx = Fixture(spark, "/root/testdata/sf0.001")
+    assert data_buckets(fx.raw) == int(spark.conf.get("spark.sql.shuffle.partitions"))  # few bytes
+    size = sum(os.path.getsize(f.removeprefix("file:")) for f in fx.raw.inputFiles())
+    small, large = [data_buckets(clean_tracks(x, fx.cfg, fx.order), size // 20) for x in (fx.raw.where("event_id < 0"), fx.raw)]
+    assert 20 <= large <= 22 and small <= large
+    cfg = EncounterConfig(track_buckets=large)
+    table = materialize(clean_tracks(fx.raw, cfg, fx.order), TRACK_KEYS, num_buckets=large, dealt=True)
+    assert table.n_rows == clean_tracks(fx.raw, fx.cfg, fx.order).count()
+    plan = clean_tracks(fx.raw, cfg, fx.order)._jdf.queryExecution().executedPlan().toString()
+    assert f"hashpartitioning(mmsi#" in plan and f", {large})" in plan
+
+
 def test_display_name_fallback(spark):
     from tracklens.operators.trajectory import display_name
 

@@ -4,9 +4,10 @@ DataFrame (fan-out points materialised), ``run_job`` also writes them."""
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tracklens.config import EncounterConfig
 from tracklens.operators.filters import select_pings
@@ -14,7 +15,7 @@ from tracklens.operators.proximity import find_candidates, pairing_pings
 from tracklens.operators.score import score_candidates, top_k_pairs, winner_event, winner_from_top
 from tracklens.operators.tracks import TRACK_KEYS, clean_tracks, moving_vessels
 from tracklens.operators.trajectory import event_report, trajectories, trajectory_lines
-from tracklens.plans.materialize import materialize, shared_checkpoint_dir
+from tracklens.plans.materialize import data_buckets, materialize, shared_checkpoint_dir, workspace
 
 
 @dataclass(frozen=True)
@@ -52,8 +53,11 @@ def detect_encounters(
     ``day_column`` names the UTC day column of a day-partitioned store."""
     cfg = (cfg or EncounterConfig()).validate()
     if clean is None:
-        cleaned = materialize(clean_tracks(select_pings(pings, cfg, day_column), cfg, order), TRACK_KEYS, num_buckets=cfg.track_buckets)
-        clean = materialize(moving_vessels(cleaned, cfg), TRACK_KEYS, num_buckets=cfg.track_buckets)
+        selected = select_pings(pings, cfg, day_column)
+        if cfg.track_buckets is None:
+            cfg = replace(cfg, track_buckets=data_buckets(selected))
+        cleaned = materialize(clean_tracks(selected, cfg, order), TRACK_KEYS, num_buckets=cfg.track_buckets, dealt=True)
+        clean = materialize(moving_vessels(cleaned, cfg), TRACK_KEYS, num_buckets=cfg.track_buckets, dealt=True)
     if candidates is None:
         pp = materialize(pairing_pings(clean, cfg, order))
         candidates = materialize(find_candidates(clean, cfg, order, strategy, pp=pp))
@@ -91,23 +95,26 @@ def run_job(
 
     Requires the shared checkpoint folder (``spark.checkpoint.dir``): the
     fan-out points are cut from their lineage there, so a lost executor
-    re-reads checkpoint files instead of re-running the scan and self-join."""
+    re-reads checkpoint files instead of re-running the scan and self-join.
+    Those tables are dropped at the end; the counts returned were taken while
+    the tables were written."""
     if not shared_checkpoint_dir(spark):
         raise RuntimeError("set spark.checkpoint.dir (a shared folder) before run_job")
-    first = detect_encounters(pings, cfg, order, strategy, day_column=day_column)
-    # The scored output doubles as the lineage cut for everything after it.
-    first.scored.write.mode(mode).parquet(f"{output_dir}/scored")
-    scored = spark.read.parquet(f"{output_dir}/scored")
-    res = detect_encounters(
-        pings, cfg, order, strategy, clean=first.clean, candidates=first.candidates, scored=scored
-    )
-    counts = {"clean": res.clean.count(), "candidates": res.candidates.count(), "scored": scored.count()}
-    for name, df in (
-        ("top", res.top),
-        ("trajectories", res.trajectories),
-        ("lines", res.lines),
-        ("report", res.report),
-    ):
-        df.write.mode(mode).parquet(f"{output_dir}/{name}")
-    res.report.write.mode(mode).json(f"{output_dir}/report_json")
-    return counts
+    with workspace(spark):
+        first = detect_encounters(pings, cfg, order, strategy, day_column=day_column)
+        # The scored output doubles as the lineage cut for everything after it.
+        rows = Observation()
+        first.scored.observe(rows, F.count(F.lit(1)).alias("n")).write.mode(mode).parquet(f"{output_dir}/scored")
+        scored = spark.read.parquet(f"{output_dir}/scored")
+        res = detect_encounters(
+            pings, cfg, order, strategy, clean=first.clean, candidates=first.candidates, scored=scored
+        )
+        for name, df in (
+            ("top", res.top),
+            ("trajectories", res.trajectories),
+            ("lines", res.lines),
+            ("report", res.report),
+        ):
+            df.write.mode(mode).parquet(f"{output_dir}/{name}")
+        res.report.write.mode(mode).json(f"{output_dir}/report_json")
+        return {"clean": first.clean.n_rows, "candidates": first.candidates.n_rows, "scored": rows.get["n"]}
