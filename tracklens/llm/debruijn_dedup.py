@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracklens.llm.stages import components, discard, settle
-from tracklens.llm.text import as_long, flat_words, hash_words, mix, owners, slices, window_hashes
+from tracklens.llm.text import as_long, flat_words, hash_words, mix, owners, released, slices, window_hashes
 
 K = 13
 GRAM = 5
@@ -82,6 +82,7 @@ class _Part:
 
 
 def _posts(k: int):
+    @released()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch):
@@ -105,6 +106,7 @@ def _own(rows: pa.RecordBatch, part: _Part) -> np.ndarray:
 
 
 def _occurrences(k: int):
+    @released()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch):
@@ -138,6 +140,7 @@ def _digests(k: int):
     """128 bits of every wanted range, from word hashes of other seeds than
     the graph's."""
 
+    @released()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch):
@@ -245,7 +248,10 @@ def repeated_ranges(docs: DataFrame, k: int = K) -> DataFrame:
     # 5: ranges by text
     own = ["h", "sig_a", "sig_b"]
     found = good.join(names.select("cls", *own), "cls").select(F.col("doc").alias("doc_id"), *own, "start", (F.col("start") + F.col("n") + k - 1).alias("end"))
-    return found.unionByName(copies).groupBy("doc_id", "h").agg(F.collect_list(F.struct("sig_a", "sig_b", "start", "end")).alias("ranges"))
+    ranges = found.unionByName(copies).groupBy("doc_id", "h").agg(F.collect_list(F.struct("sig_a", "sig_b", "start", "end")).alias("ranges"))
+    ranges = settle(ranges, "ranges")
+    discard(copies, names)
+    return ranges
 
 
 def _covered(ranges: list[dict] | None, sig: tuple[int, int], n: int) -> list[tuple[int, int]]:
@@ -267,6 +273,7 @@ def _with_ranges(docs: DataFrame, k: int) -> DataFrame:
 def digest_kept(docs: DataFrame, k: int = K) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every row of ``docs``."""
 
+    @released()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch):
@@ -294,6 +301,7 @@ def remove_repeats(docs: DataFrame, k: int = K) -> DataFrame:
     columns = docs.columns
     inner = [c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(columns)]
 
+    @released()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch):

@@ -46,8 +46,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracklens.llm.stages import components, settle
-from tracklens.llm.text import as_long, flat_words, hash_words, mix, slices, window_hashes
+from tracklens.llm.stages import components, discard, settle
+from tracklens.llm.text import as_long, flat_words, hash_words, mix, released, slices, window_hashes
 
 SHINGLE = 5
 NUM, DEN = 4, 5  # similarity of at least NUM / DEN
@@ -88,6 +88,7 @@ def base_matches(n: int) -> int:
     return 1 + n // BASE_SHARE
 
 
+@released()
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch):
@@ -103,6 +104,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+@released()
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Token sets of the texts whose set is that of the class they stand for."""
     for batch in batches:
@@ -133,6 +135,7 @@ def choose_matches(df: np.ndarray, n: int) -> int:
     return int(l[np.argmin(reads + VERIFY_COST * (n / 100) * reads / l)])
 
 
+@released()
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """cls, n, [(df, token)] -> postings of the adaptive prefix."""
     for batch in batches:
@@ -251,7 +254,9 @@ def similar_components(docs: DataFrame) -> DataFrame:
     named = of_class.join(of_class.groupBy("comp").agg(F.min("rep").alias("component_id")), "comp").select("sig_a", "sig_b", "component_id")
     result = sig.select("doc_id", "n_shingles", "sig_a", "sig_b").where("n_shingles > 0").join(named, ["sig_a", "sig_b"], "left")
     result = result.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
-    return result.unionByName(sig.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    result = settle(result.unionByName(sig.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))), "similar")
+    discard(sig, classes, common, active, sets, df, prefixes, by_hub)
+    return result
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklens.llm.labelled import bounded_sample, hash_share, learnable, remainder
-from tracklens.llm.text import code_points, encode, flat_words, hash_words, mix, owners, slices, sums, window_hashes
+from tracklens.llm.text import code_points, encode, flat_words, give_back, hash_words, mix, owners, released, slices, sums, window_hashes
 
 BUCKETS = 1 << 18
 DIM = 8
@@ -39,6 +39,7 @@ RATE = 20.0
 SEED = 17
 HELD_MODULUS, HELD = 4, 2
 THRESHOLD = 0.7
+SCORE_BYTES = 1 << 20  # text scored at once: its words' features take some 30 times as much
 
 _REPEAT = 0  # the bucket of a word that follows itself
 
@@ -51,15 +52,16 @@ def word_features(distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if not n:
         return np.zeros(0, np.int64), np.zeros(1, np.int64)
     of, size = owners(off), np.diff(off)
-    word, feature = [np.arange(n)], [hash_words(distinct, SEED)]
+    bucket = lambda h: (h % np.uint64(BUCKETS - 1)).astype(np.int32) + np.int32(1)
+    word, feature = [np.arange(n, dtype=np.int32)], [bucket(hash_words(distinct, SEED))]
     for k in NGRAMS:
         at = np.flatnonzero(np.arange(len(points)) + k <= off[1:][of])
-        word.append(of[at])
-        feature.append(mix(window_hashes(h, k)[at] + np.uint64(k)))
+        word.append(of[at].astype(np.int32))
+        feature.append(bucket(mix(window_hashes(h, k)[at] + np.uint64(k))))
     word, feature = np.concatenate(word), np.concatenate(feature)
     order = np.argsort(word, kind="stable")
     per_word = 1 + sum(np.maximum(size - k + 1, 0) for k in NGRAMS)
-    return (feature[order] % np.uint64(BUCKETS - 1)).astype(np.int64) + 1, np.concatenate([[0], np.cumsum(per_word)])
+    return feature[order], np.concatenate([[0], np.cumsum(per_word)])
 
 
 def pair_features(words: pa.Array, code: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +139,10 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, rows: int = TRAIN_ROWS
     if len(y) == 0 or y.min() == y.max():
         share = min(max(float(y.mean()) if len(y) else 0.5, 0.001), 0.999)
         return np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share)))
-    return train(got.column("text").to_pylist(), y)
+    model = train(got.column("text").to_pylist(), y)
+    del got
+    give_back()  # the sample's features, some 200 MB, are no longer held
+    return model
 
 
 def score_texts(docs: DataFrame, weights: np.ndarray, bias: float, out: str = "score") -> DataFrame:
@@ -145,10 +150,11 @@ def score_texts(docs: DataFrame, weights: np.ndarray, bias: float, out: str = "s
     columns = [c for c in docs.columns if c != out]
     model = docs.sparkSession.sparkContext.broadcast((weights.astype(np.float32), bias))
 
+    @released()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight, b = model.value
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, max_bytes=SCORE_BYTES):
                 words, off = flat_words(part.column("text"), lower=False)
                 code, distinct = encode(words)
                 feature, foff = word_features(distinct)

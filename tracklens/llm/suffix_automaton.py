@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklens.llm.stages import discard, settle
-from tracklens.llm.text import encode, flat_alnum_words, slices
+from tracklens.llm.text import encode, flat_alnum_words, released, slices
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
@@ -263,6 +263,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
         columns = [c for c in df.columns if c not in own]
         later = len(df.columns) > len(columns)
 
+        @released()
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in slices(batch):
