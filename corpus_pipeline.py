@@ -20,9 +20,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from tracklens.llm import cutting_stock, debruijn_dedup, ngram_join, subword_quality, suffix_automaton
-from tracklens.llm.stages import settle
+from tracklens.llm.stages import discard, settle
 
 ORACLE_SQL = None
 
@@ -37,22 +38,26 @@ def _counted(docs: DataFrame) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
     weights, bias = subword_quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), "quality")
-    scored = subword_quality.score_texts(docs, weights, bias, out="_quality")
-    return scored.where(F.col("_quality") >= subword_quality.THRESHOLD).drop("_quality")
+    inner = [c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)]  # no clash with the score
+    scored = subword_quality.score_texts(docs.toDF(*inner), weights, bias, out="score")
+    return scored.where(F.col("score") >= subword_quality.THRESHOLD).select(*inner).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row, of the smallest doc_id (then the smallest row hash), of each
     group of near copies.  Rows are told apart by a hash of all their columns,
     not by doc_id: rows that share an id but not the text are rows of their own."""
-    rows = docs.where("doc_id IS NOT NULL")
-    named = rows.withColumn("_row", F.xxhash64(*rows.columns, *[F.col(c).isNull() for c in rows.columns]))
-    groups = ngram_join.similar_components(named.select(F.col("_row").alias("doc_id"), "text"))
-    groups = groups.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")).distinct()
-    ids = named.select("_row", "doc_id").distinct().join(groups, "_row")
-    stay = ids.groupBy("_group").agg(F.min(F.struct("doc_id", "_row")).alias("s")).select("s.doc_id", "s._row")
-    kept = named.join(stay, ["doc_id", "_row"], "left_semi").dropDuplicates(["doc_id", "_row"])
-    return kept.drop("_row").unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    inner = [c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)]  # no clash with row and group
+    rows = docs.toDF(*inner).where("doc_id IS NOT NULL")
+    hashable = [F.to_json(c) if isinstance(rows.schema[c].dataType, (ArrayType, MapType, StructType, VariantType)) else F.col(c) for c in inner]
+    named = rows.withColumn("row", F.xxhash64(*hashable, *[F.col(c).isNull() for c in inner]))
+    groups = ngram_join.similar_components(named.select(F.col("row").alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias("row"), F.col("component_id").alias("of")).distinct()
+    ids = named.select("row", "doc_id").distinct().join(groups, "row")
+    stay = ids.groupBy("of").agg(F.min(F.struct("doc_id", "row")).alias("s")).select("s.doc_id", "s.row")
+    kept = named.join(stay, ["doc_id", "row"], "left_semi")
+    kept = kept.dropDuplicates(["doc_id", "row"]).drop("row")
+    return kept.unionByName(docs.toDF(*inner).where("doc_id IS NULL")).select(*inner).toDF(*docs.columns)
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,7 +72,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of at most 4096 ids: one row per piece, with its ids."""
-    return cutting_stock.pack(cutting_stock.token_pieces(docs, with_ids=True))
+    return cutting_stock.pack(cutting_stock.token_pieces(docs, with_ids=True, keep_cache=False))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -81,6 +86,10 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES:
         docs = settle(stage(spark, docs, sf_dir), f"stage-{name}")
+        if before is not None:
+            discard(before)
+        before = docs
     return docs
