@@ -83,6 +83,22 @@ def test_spans_are_compared_with_their_source(spark):
     assert [r.n for r in good.collect()] == [2] and [r.n for r in bad.collect()] == [4]
 
 
+def test_a_repeated_word_pair_is_one_row_a_text(spark):
+    """However often a text repeats two words, its spans over one stretch of a
+    source meet the source as one row; one that differs is a row of its own."""
+    import pyarrow as pa
+
+    texts = ["some words first " + "a b " * 30, "other words here " + "a b " * 60 + "c " * 20]
+    sa, sb = D._Part(pa.array(texts)).signatures()
+    docs = spark.createDataFrame([(10, texts[0]), (20, texts[1])], "doc_id long, text string")
+    classes = spark.createDataFrame([(i + 1, (i + 1) * 10, int(sa[i]), int(sb[i])) for i in range(2)], "cls long, doc long, sig_a long, sig_b long")
+    claimed = spark.createDataFrame([(2, 20, 1, i, 3, 2) for i in [*range(3, 103, 2), 125]], "cls long, doc long, o_cls long, start long, o_start long, n long")
+    good, bad = D._agreeing(claimed, classes, docs, D.K)
+    assert [r.starts for r in good.collect()] == [[*range(3, 103, 2)]] and [r.starts for r in bad.collect()] == [[125]]
+    rows = [(i, f"own {i} text " + "a b " * (20 + i) + f"end of {i}" + " c" * i) for i in range(40)]
+    assert run(spark, rows) == brute(rows)
+
+
 def test_paths_compact(spark):
     """A passage in three documents is one path; a fork splits it."""
     import pyspark.sql.functions as F

@@ -138,24 +138,31 @@ def range_digests(hashes: np.ndarray, start: np.ndarray, end: np.ndarray, base:
 
 def _digests(k: int):
     """128 bits of every wanted range, from word hashes of other seeds than
-    the graph's."""
+    the graph's.  The starts of one claim whose words have one digest stay one
+    row, however often a text repeats itself."""
 
     @released()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch):
                 part = _Part(rows.column("text"))
-                own = _own(rows, part)
-                lists = rows.column("ranges")
-                count = np.where(own, pc.list_value_length(lists).to_numpy(zero_copy_only=False), 0)
-                flat = lists.flatten()
-                keep = np.repeat(own, pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-                start, n = (flat.field(c).to_numpy()[keep] for c in ("start", "n"))
-                row = np.repeat(np.arange(rows.num_rows), count)
-                a = part.off[:-1][row] + start
-                digest = [as_long(range_digests(hash_words(part.words, seed), a, a + n + k - 1, base)) for seed, base in DIGESTS]
-                cols = [rows.column("cls").to_numpy()[row], start, n, *digest]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["cls", "start", "n", "da", "db"])
+                rows, first = rows.filter(own := pa.array(_own(rows, part))), part.off[:-1][own.to_numpy(zero_copy_only=False)]
+                sizes = pc.list_value_length(rows.column("ranges")).to_numpy(zero_copy_only=False).astype(np.int64)
+                claims = rows.column("ranges").flatten()
+                row, count = np.repeat(np.arange(rows.num_rows), sizes), pc.list_value_length(claims.field("starts")).to_numpy(zero_copy_only=False).astype(np.int64)
+                claim, start = np.repeat(np.arange(len(claims)), count), claims.field("starts").flatten().to_numpy()
+                a = first[row][claim] + start
+                z = a + claims.field("n").to_numpy()[claim] + k - 1
+                da, db = (as_long(range_digests(hash_words(part.words, seed), a, z, base)) for seed, base in DIGESTS)
+                order = np.lexsort((start, db, da, claim))
+                claim, start, da, db = claim[order], start[order], da[order], db[order]
+                new = np.ones(len(claim), bool)
+                new[1:] = (claim[1:] != claim[:-1]) | (da[1:] != da[:-1]) | (db[1:] != db[:-1])
+                at = np.flatnonzero(new)
+                starts = pa.ListArray.from_arrays(pa.array(np.append(at, len(claim)), pa.int32()), pa.array(start))
+                of = claim[at]
+                cols = [rows.column(c).to_numpy()[row[of]] for c in ("cls", "doc")] + [claims.field(c).to_numpy()[of] for c in ("o_cls", "o_start", "n")]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, cols), starts, pa.array(da[at]), pa.array(db[at])], ["cls", "doc", "o_cls", "o_start", "n", "starts", "da", "db"])
 
     return run
 
@@ -190,14 +197,18 @@ def compact(edges: DataFrame) -> DataFrame:
 
 
 def _agreeing(spans: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
-    """Spans split into those whose words equal their source's and the rest."""
-    ranges = spans.select("cls", "start", "n").union(spans.select("o_cls", "o_start", "n")).distinct()
-    wanted = ranges.groupBy("cls").agg(F.collect_list(F.struct("start", "n")).alias("ranges")).join(classes, "cls")
+    """Spans split into those whose words equal their source's and the rest.
+    All spans of a text over one stretch of a source are one row with their
+    ``starts`` (a text that repeats two words has one for every repetition)."""
+    claim = ["cls", "o_cls", "o_start", "n"]
+    own = spans.groupBy(*claim).agg(F.collect_list("start").alias("starts"))  # at most the text's own windows
+    sources = spans.select(F.col("o_cls").alias("cls"), *claim[1:]).distinct().withColumn("starts", F.array("o_start"))
+    wanted = own.unionByName(sources).groupBy("cls").agg(F.collect_list(F.struct(*claim[1:], "starts")).alias("ranges")).join(classes, "cls")
     on = [c for c in ("doc_id", "h") if c in docs.columns]
-    texts = docs.join(wanted.withColumnRenamed("doc", "doc_id"), on).select("cls", "sig_a", "sig_b", "ranges", "text")
-    dig = settle(texts.mapInArrow(_digests(k), "cls long, start long, n long, da long, db long").distinct(), "digests")
-    there = dig.select(F.col("cls").alias("o_cls"), F.col("start").alias("o_start"), "n", F.col("da").alias("oa"), F.col("db").alias("ob"))
-    both = spans.join(dig, ["cls", "start", "n"]).join(there, ["o_cls", "o_start", "n"]).withColumn("ok", F.expr("da = oa AND db = ob"))
+    texts = docs.join(wanted.withColumnRenamed("doc", "doc_id"), on).select("cls", F.col("doc_id").alias("doc"), "sig_a", "sig_b", "ranges", "text")
+    dig = settle(texts.mapInArrow(_digests(k), "cls long, doc long, o_cls long, o_start long, n long, starts array<long>, da long, db long").distinct(), "digests")
+    there = dig.where("cls = o_cls").select(*claim[1:], F.col("da").alias("oa"), F.col("db").alias("ob"))  # no span has its own text as source
+    both = dig.where("cls <> o_cls").join(there, claim[1:]).withColumn("ok", F.expr("da = oa AND db = ob"))
     both = settle(both.drop("da", "db", "oa", "ob"), "compared")
     discard(dig)
     return both.where("ok").drop("ok"), both.where("NOT ok").drop("ok")
@@ -243,12 +254,14 @@ def repeated_ranges(docs: DataFrame, k: int = K) -> DataFrame:
     discard(spans)
     if not bad.isEmpty():  # single windows of spans that differ somewhere
         step = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))
-        single = bad.withColumn("i", step).select("cls", "doc", "o_cls", (F.col("start") + F.col("i")).alias("start"), (F.col("o_start") + F.col("i")).alias("o_start"), F.lit(1).cast("long").alias("n"))
+        single = bad.withColumn("start", F.explode("starts")).withColumn("i", step).select("cls", "doc", "o_cls", (F.col("start") + F.col("i")).alias("start"), (F.col("o_start") + F.col("i")).alias("o_start"), F.lit(1).cast("long").alias("n"))
         good = good.unionByName(_agreeing(settle(single, "single"), names, docs, k)[0])
     # 5: ranges by text
-    own = ["h", "sig_a", "sig_b"]
-    found = good.join(names.select("cls", *own), "cls").select(F.col("doc").alias("doc_id"), *own, "start", (F.col("start") + F.col("n") + k - 1).alias("end"))
-    ranges = found.unionByName(copies).groupBy("doc_id", "h").agg(F.collect_list(F.struct("sig_a", "sig_b", "start", "end")).alias("ranges"))
+    own = ["sig_a", "sig_b"]
+    span = lambda s: F.struct(*own, s.alias("start"), (s + F.col("n") + k - 1).alias("end"))
+    found = good.join(names.select("cls", "h", *own), "cls").select(F.col("doc").alias("doc_id"), "h", F.transform("starts", span).alias("ranges"))
+    whole = copies.select("doc_id", "h", F.array(F.struct(*own, "start", "end")).alias("ranges"))
+    ranges = found.unionByName(whole).groupBy("doc_id", "h").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
     ranges = settle(ranges, "ranges")
     discard(copies, names)
     return ranges
