@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,6 +89,24 @@ def test_days_come_in_order_and_hold_their_own_pings(spark, scratch):
     assert store.days == [DAYS[0], DAYS[3]] and store.cleaned.count() == 2 and state_last_ping(store.state).count() == 1
 
 
+def test_a_day_writes_no_state_of_earlier_days(spark, scratch):
+    """Each day's state holds that day's pings only, so a day costs the same
+    however many came before; the days' states add up when the store is read."""
+    for k in range(3):
+        df = pings(spark, [{"mmsi": 219000000 + k, "t": k * 86400 + 60 * i, "lat": 55.0 + i * 1e-4, "sog": 5.0 + i} for i in range(4)])
+        ingest_day(spark, df, DAYS[k], scratch, CFG, ("event_id",))
+    assert [spark.read.parquet(f"{scratch}/state/day={d}").count() for d in DAYS[:3]] == [4, 4, 4]
+    store = from_store(spark, scratch, CFG)
+    same(store.state, day_state(store.cleaned))
+    # a store of an earlier version kept one state through its last day
+    merged = spark.read.parquet(*[f"{scratch}/state/day={d}" for d in DAYS[:2]])
+    merged.write.parquet(f"{scratch}/old/state/through={DAYS[1]}")
+    for part in ("clean", "carry", "days"):
+        shutil.copytree(f"{scratch}/{part}", f"{scratch}/old/{part}")
+    shutil.copytree(f"{scratch}/state/day={DAYS[2]}", f"{scratch}/old/state/day={DAYS[2]}")
+    same(from_store(spark, f"{scratch}/old", CFG).state, store.state)
+
+
 def test_states_merge_in_any_order(spark):
     df = month(spark, 2)
     parts = [df.where(F.col("event_id") % 3 == k) for k in range(3)]

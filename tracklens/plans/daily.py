@@ -1,14 +1,14 @@
 """The encounter job fed by daily files.
 
 ``ingest_day`` cleans one day and adds it to a store; ``from_store`` gives
-what the rest of the job needs.  A day costs a scan of that day and of two
-per-vessel tables, never a reread of the month:
+what the rest of the job needs.  A day costs a scan of that day and of the
+carry, never a reread of the month or of the states of earlier days:
 
 * ``clean/day=...``      the day's cleaned pings (O17-O22)
 * ``carry/through=...``  every vessel's last fix up to that day: the next
                          day's first rows are compared with it
-* ``state/through=...``  counts of SOGs and last pings up to that day
-                         (:mod:`tracklens.operators.day_state`)
+* ``state/day=...``      counts of SOGs and last pings of that day
+                         (:mod:`tracklens.operators.day_state`), merged when read
 * ``days``               the days that are complete; written last, so a day
                          that broke off is simply ingested again
 
@@ -87,14 +87,19 @@ def ingest_day(
     cleaned.write.mode("overwrite").parquet(f"{store}/clean/day={day}")
     last_fix(selected, order, carry).write.mode("overwrite").parquet(f"{store}/carry/through={day}")
     state = day_state(spark.read.parquet(f"{store}/clean/day={day}"))
-    if before:
-        state = merge_states(spark.read.parquet(f"{store}/state/through={before}"), state)
-    state.select(*STATE).write.mode("overwrite").parquet(f"{store}/state/through={day}")
+    state.select(*STATE).write.mode("overwrite").parquet(f"{store}/state/day={day}")
     spark.createDataFrame([(day,)], "day date").coalesce(1).write.mode("append").parquet(f"{store}/days")
     for old in done[:-1]:  # the version before stays until the next day is complete
-        for part in ("carry", "state"):
-            fs, p = _hadoop(spark, f"{store}/{part}/through={old}")
-            fs.delete(p, True)
+        fs, p = _hadoop(spark, f"{store}/carry/through={old}")
+        fs.delete(p, True)
+
+
+def _state(spark: SparkSession, store: str, days: list[dt.date]) -> DataFrame:
+    """The state of all ``days``.  Days without one of their own were ingested
+    when a store kept one state of all days up to the last."""
+    merged = [d for d in days if not _exists(spark, f"{store}/state/day={d}")]
+    paths = [f"{store}/state/through={d}" for d in merged[-1:]] + [f"{store}/state/day={d}" for d in days if d not in merged]
+    return merge_states(*[spark.read.parquet(p) for p in paths])
 
 
 def from_store(spark: SparkSession, store: str, cfg: EncounterConfig | None = None) -> DailyStore:
@@ -104,6 +109,6 @@ def from_store(spark: SparkSession, store: str, cfg: EncounterConfig | None = No
     if not days:
         raise ValueError(f"{store} holds no complete day")
     cleaned = spark.read.option("basePath", f"{store}/clean").parquet(*[f"{store}/clean/day={d}" for d in days])
-    state = spark.read.parquet(f"{store}/state/through={days[-1]}")
+    state = _state(spark, store, days)
     movers = moving_list(state_medians(state), cfg)
     return DailyStore(days, cleaned, state, movers, pings_of(cleaned, movers))
