@@ -64,7 +64,7 @@ def run_once(spark, sf_dir: str, strategy: str = "border") -> dict[str, float]:
     timed("clean_tracks", lambda: fx.cleaned)  # written as a table
     timed("moving_vessels", lambda: fx.clean)
     timed("pairing_pings", lambda: fx.pp)
-    fx.__dict__["cands"] = timed("candidates", lambda: materialize(prox.find_candidates(fx.clean, fx.cfg, fx.order, strategy, pp=fx.pp)))
+    fx.__dict__["cands"] = timed("candidates", lambda: materialize(prox.find_candidates(fx.clean, fx.cfg, fx.order, strategy, pp=fx.pp, cut=materialize)))
     fx.__dict__["scored"] = timed("score", lambda: materialize(fx.scored))
     timed("top5_pairs", lambda: noop(fx.top))
     timed("winner_event", lambda: noop(event_report(fx.wevent)))

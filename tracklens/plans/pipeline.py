@@ -60,7 +60,7 @@ def detect_encounters(
         clean = materialize(moving_vessels(cleaned, cfg), TRACK_KEYS, num_buckets=cfg.track_buckets, dealt=True)
     if candidates is None:
         pp = materialize(pairing_pings(clean, cfg, order))
-        candidates = materialize(find_candidates(clean, cfg, order, strategy, pp=pp))
+        candidates = materialize(find_candidates(clean, cfg, order, strategy, pp=pp, cut=materialize))
     cands = candidates
     scored = scored if scored is not None else score_candidates(cands, clean, cfg)
     top = materialize(top_k_pairs(scored, cfg.top_k_pairs), small=True)
