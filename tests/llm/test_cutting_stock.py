@@ -105,3 +105,23 @@ def test_edge_rows(spark, monkeypatch):
     assert C.pack(C.token_pieces(spark.createDataFrame([(None, "x")], "doc_id long, text string"))).count() == 1
     ids = C.token_pieces(df.where("doc_id = 3"), with_ids=True).collect()
     assert [x for r in sorted(ids, key=lambda r: r.start) for x in r.ids] == library_ids([long])[0]
+
+
+def test_texts_are_tokenised_a_megabyte_at_a_time(spark, monkeypatch):
+    sizes, runs, whole = [], [], C.text_ids
+    monkeypatch.setattr(C, "text_ids", lambda texts, *a: sizes.append(sum(map(len, texts.to_pylist()))) or whole(texts, *a))
+
+    class Docs:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, kinds):
+            runs.append(run)
+
+    C.token_pieces(Docs(), with_ids=True)
+    texts = [f"word {i} " * 12_000 for i in range(30)] + ["long " * 250_000]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(31)), "text": texts})
+    out = pa.Table.from_batches(runs[0](iter([batch]))).to_pydict()
+    assert sorted(sizes)[-1] == len(texts[-1]) and sorted(sizes)[-2] <= 1 << 20
+    assert sum(sizes) == sum(map(len, texts)) and out["doc_id"] == sorted(out["doc_id"]) and set(out["doc_id"]) == set(range(31))
+    assert [x for d, ids in zip(out["doc_id"], out["ids"], strict=True) if d == 7 for x in ids] == library_ids([texts[7]])[0]

@@ -42,6 +42,7 @@ VOCABULARY = "word_bpe_49k.json"
 GAP = 1e-3  # column generation stops within this share of the LP's optimum
 RANK_ROWS = 50_000
 CACHED_WORDS = 250_000  # per Python worker, before the next slice adds its own
+TOKEN_BYTES = 1 << 20  # of text at a time: the arrays of its words and ids are tens of times as large
 TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII punctuation but the apostrophe, which may start a suffix
 SPLITTABLE = r"[0-9a-z\x{df}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}]$"  # ends in a Latin letter (but U+0130, which lowers to a letter and a mark) or digit
 PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
@@ -149,7 +150,7 @@ def token_pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = word_ids(where or vocabulary_path())
         for batch in batches:
-            for rows in slices(batch):
+            for rows in slices(batch, max_bytes=TOKEN_BYTES):
                 ids, off = text_ids(rows.column("text"), coder, end)
                 raw = ids.astype("<u4")
                 total = np.diff(off)
