@@ -57,7 +57,7 @@ def detect_encounters(
         if cfg.track_buckets is None:
             cfg = replace(cfg, track_buckets=data_buckets(selected))
         cleaned = materialize(clean_tracks(selected, cfg, order), TRACK_KEYS, num_buckets=cfg.track_buckets, dealt=True)
-        clean = materialize(moving_vessels(cleaned, cfg), TRACK_KEYS, num_buckets=cfg.track_buckets, dealt=True)
+        clean = materialize(moving_vessels(cleaned, cfg, materialize), TRACK_KEYS, num_buckets=cfg.track_buckets, dealt=True)
     if candidates is None:
         pp = materialize(pairing_pings(clean, cfg, order))
         candidates = materialize(find_candidates(clean, cfg, order, strategy, pp=pp, cut=materialize))
