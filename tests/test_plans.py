@@ -5,7 +5,9 @@ import os
 import re
 
 from tracklens.config import EncounterConfig
+from tracklens.operators import tracks as tr
 from tracklens.operators.filters import select_pings
+from tracklens.operators.proximity import pairing_pings
 from tracklens.operators.tracks import clean_tracks
 from tracklens.plans.catalog import Fixture
 from tracklens.plans.pipeline import detect_encounters
@@ -127,3 +129,38 @@ def test_track_bucket_count_is_configurable(spark):
     assert sorted(tuple(r) for r in res.top.select(*cols).collect()) == sorted(
         tuple(r) for r in base.top.select(*cols).collect()
     )
+
+
+def _events(spark, folder):
+    rows = spark.range(4000).selectExpr("id AS event_id", "IF(id % 9 = 0, 'error', 'view') AS event_type", "CAST(id % 37 AS DOUBLE) / 2 AS value")
+    rows.write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+def test_candidates_write_no_table_of_the_moving_vessels_pings(spark, scratch):
+    fx = Fixture(spark, _events(spark, scratch))
+    assert fx.cands.count() > 0
+    assert "clean" not in fx.__dict__
+    sides = [sorted(map(str, df.collect())) for df in (fx.pp, pairing_pings(fx.clean, CFG, fx.order).select(*fx.pp.columns))]
+    assert sides[0] == sides[1] and len(sides[0]) > 1000
+
+
+def test_pairing_from_a_long_list_of_moving_vessels_is_the_same(spark, scratch, monkeypatch):
+    fx = Fixture(spark, _events(spark, scratch))
+    expected = sorted(map(str, fx.pp.collect()))
+    monkeypatch.setattr(tr, "BROADCAST_VESSELS", 0)
+    other = Fixture(spark, scratch)
+    assert sorted(map(str, other.pp.select(*fx.pp.columns).collect())) == expected
+
+
+def test_pairing_lag_moves_no_pings_and_reads_the_summary_narrowly(spark, scratch):
+    """From the cleaned table and the list of moving vessels: no shuffle of the
+    pings, and the summary of the chunks reads only what a fix needs."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    fx = Fixture(spark, _events(spark, scratch))
+    df = pairing_pings(fx.moving, CFG, fx.order)
+    df.collect()
+    p = _plan(df)
+    assert not re.search(r"Exchange hashpartitioning\(mmsi#\d+L, track_chunk#\d+L", p)
+    read = [s for s in re.findall(r"ReadSchema: struct<([^>]*)>", p) if "lat:" in s]
+    assert sorted("name:" in s for s in read) == [False, True], read
